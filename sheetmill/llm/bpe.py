@@ -186,7 +186,7 @@ class Digests:
             self.decimal, self.decoded = {}, {}
         decimal = list(map(self.decimal.get, values))
         if None in decimal:
-            for v in set(values) - self.decimal.keys():
+            for v in {v for v, x in zip(values, decimal, strict=True) if x is None}:
                 ids = np.frombuffer(v, dtype="<u4")
                 self.decimal[v] = "".join([f"{i} " for i in ids.tolist()]).encode()
                 self.decoded[v] = self.codec.decode(ids)
