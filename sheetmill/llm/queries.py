@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing
+from . import bpe, chat, packing, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_best_fit_packing": packing.query, "op9_byte_bpe": bpe.query}
+    return {
+        "op1_chat_format": chat.query,
+        "op3_best_fit_packing": packing.query,
+        "op8_toxicity": toxicity.query,
+        "op9_byte_bpe": bpe.query,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_chat_format": chat.SQL}
