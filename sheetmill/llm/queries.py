@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, packing, toxicity
+from . import bpe, chat, jaccard, packing, quality, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": chat.query,
         "op3_best_fit_packing": packing.query,
+        "op4_ngram_jaccard": jaccard.query,
         "op8_toxicity": toxicity.query,
         "op9_byte_bpe": bpe.query,
+        "op10_quality_rules": quality.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": chat.SQL}
+    return {"op1_chat_format": chat.SQL, "op10_quality_rules": quality.SQL}
