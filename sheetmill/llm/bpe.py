@@ -31,7 +31,9 @@ from .common import doc_text, table
 #: A space with no white space on either side: pre-tokens never reach over it.
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 #: A space next to white space or at the end, where str.split(" ") would not cut safely.
-UNSAFE = re.compile(r" (?:\s|\Z)|\s ")
+UNSAFE = re.compile(r" (?:\s|\Z)")
+#: A character that stands for no byte.
+SEPARATOR = "\x01"
 #: Units and bytes of text that a worker's dictionary holds before it is emptied.
 CACHE_UNITS = 1_000_000
 CACHE_CHARS = 16_000_000
@@ -142,6 +144,7 @@ class BytePairCodec:
         self.tokens = read_ranks(ranks)
         self.ids = {t: i for i, t in enumerate(self.tokens)}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(self.tokens))
+        self.unknown = self.model.unk_id()
         self.find = regex.compile(pattern).findall
         self.table = str.maketrans({chr(b): c for b, c in enumerate(byte_chars())})
         inverse = {c: b for b, c in enumerate(byte_chars())}
@@ -153,9 +156,13 @@ class BytePairCodec:
         raw = [p.encode() for p in pretokens]
         out: list[list[int] | None] = [[self.ids[r]] if r in self.ids else None for r in raw]
         miss = [i for i, x in enumerate(out) if x is None]
-        found = self.model.encode([raw[i].decode("latin-1").translate(self.table) for i in miss], num_threads=1) if miss else []
-        for i, ids in zip(miss, found, strict=True):
-            out[i] = ids
+        # one call for all: no piece holds the separator, so no merge reaches over it, and it comes back as the unknown id
+        joined = self.model.encode(SEPARATOR.join([raw[i].decode("latin-1").translate(self.table) for i in miss]) + SEPARATOR) if miss else []
+        start = 0
+        for i in miss:
+            end = joined.index(self.unknown, start)
+            out[i] = joined[start:end]
+            start = end + 1
         return out
 
     def encode_units(self, units: list[str]) -> list[bytes]:

@@ -17,24 +17,51 @@ are ignored.
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import Units
+from .bpe import Units, byte_chars
 from .common import doc_text, table
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 
 
+#: Fixed value: how the byte-level pre-tokenizer of tokenizer files splits a text.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters from here on may be classed differently by two libraries' versions of Unicode.
+LATIN_END = "\u0250"
+
+
+def rank_encoding(file: dict) -> tiktoken.Encoding | None:
+    """The same byte-level BPE by ranks, about ten times as fast on unseen words.
+
+    Only if the file's merges make their tokens in the order of the ids, so that both choose the same merges, and nothing
+    but the byte-level split stands before them; otherwise None.
+    """
+    model, split = file["model"], file["pre_tokenizer"] or {}
+    vocabulary = model["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [vocabulary.get("".join(m)) for m in merges]
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and file["normalizer"] is None
+    if not plain or None in made or made != sorted(made) or len(made) + 256 != made[-1] + 1:
+        return None
+    byte = {c: b for b, c in enumerate(byte_chars())}
+    ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if i <= made[-1]}
+    return tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+
+
 class TokenizerIds:
     """Ids by a tokenizers file, by units of text; strings of special tokens keep their meaning."""
 
@@ -53,14 +80,18 @@ class TokenizerIds:
 
         self.tokenizer = Tokenizer.from_str(data)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.ranked = rank_encoding(json.loads(data))
         self.units = Units(self.encode_units)
 
     def encode_units(self, units: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        """For each unit its ids. Latin units go through the file's merges as ranks, all others through the tokenizer."""
+        latin = [self.ranked is not None and max(u, default="") < LATIN_END for u in units]
+        rest = iter(self.tokenizer.encode_batch([u for u, x in zip(units, latin, strict=True) if not x], add_special_tokens=False))
+        return [array("I", self.ranked.encode_ordinary(u) if x else next(rest).ids).tobytes() for u, x in zip(units, latin, strict=True)]
 
     def raw(self, text: str) -> bytes:
         if any(s in text for s in self.special):
-            return self.encode_units([text])[0]
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(self.units.values(text))
 
 
