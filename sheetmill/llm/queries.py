@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, jaccard, neighbours, packing, quality, suffix, toxicity
+from . import bpe, chat, jaccard, lines, neighbours, packing, quality, suffix, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_chat_format": chat.query,
         "op3_best_fit_packing": packing.query,
         "op4_ngram_jaccard": jaccard.query,
+        "op5_line_dedup": lines.query,
         "op6_suffix_dedup": suffix.query,
         "op7_embedding_near_dup": neighbours.query,
         "op8_toxicity": toxicity.query,

@@ -330,7 +330,7 @@ def united(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[first], end[np.append(first[1:], len(start)) - 1]
 
 
-KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
 
 def cut_out(docs: DataFrame, spans: DataFrame, length: int, with_text: bool) -> DataFrame:
@@ -355,16 +355,20 @@ def cut_out(docs: DataFrame, spans: DataFrame, length: int, with_text: bool) ->
                     runs, removed = len(starts), int((ends - starts).sum())
                     edges = [0, *np.stack([starts, ends], axis=1).ravel().tolist(), len(raw)]
                     kept = b"".join([raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)])
-                rows.append((doc, len(raw), removed, runs, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
+                rows.append((doc, len(raw), removed, runs, hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if with_text else None))
         columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return docs.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(run, KEPT)
 
 
 def remove_repeats(df: DataFrame, length: int = 100, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document; kept is null unless asked for."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document.
+
+    kept, the remaining text without bytes that no longer make a character, is null unless asked for; the digest is that of
+    all remaining bytes.
+    """
     if length < ANCHOR + 1:
         raise ValueError(f"length must be over {ANCHOR}")
     rows = doc_text(df, id_col, text_col)
