@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Bytes of text that one vectorised step handles; bounds a worker's memory whatever the batch holds.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -39,8 +39,8 @@ from .components import components
 
 STEP = tuple(np.uint64(mixed(i) | 1) for i in range(1, 65))
 PRINT_A, PRINT_B, PLACE, ELEMENT, SALT = (np.uint64(mixed(1000 + i)) for i in range(5))
-#: Classes that may meet in one index entry before pairs with a pivot stand for all pairs.
-FEW = 12
+#: Probing classes that may meet in one index entry before pairs with a pivot stand for all pairs.
+FEW = 8
 #: Classes of one block when the rest of such a meeting is compared.
 BLOCK = 256
 #: Index entries of a bucket, about, and bytes of text after which blocks are sent on.
@@ -91,20 +91,21 @@ def band_edges(largest: int, t: Threshold) -> list[int]:
 def allocate(number: int, low: int, high: int, sets: int, t: Threshold) -> Band:
     """The cheapest numbers of exact and deletion segments for a band with this many sets."""
     top = t.gap(high - 1, high - 1)
-    mean = (low + high - 1) / 2
-    spare = top - t.gap(mean, min(high - 1, t.largest(mean)))
+    sizes = np.unique(np.linspace(low, high - 1, 8).astype(np.int64))
+    spare = top - t.gap(sizes, np.minimum(high - 1, t.largest(sizes)))
     best = None
-    for slack in sorted({0, 1, 2, *(math.ceil(top * x) for x in (0.02, 0.04, 0.07, 0.1, 0.15))}):
+    for slack in sorted({0, 1, 2, *(math.ceil(top * x) for x in (0.02, 0.04, 0.06, 0.08, 0.12, 0.16))}):
         for deletion in sorted({0, 1, 2, (top + 1 + slack) // 4, (top + 1 + slack) // 2, (top + 2 + slack) // 2}):
             exact = top + 1 + slack - 2 * deletion
             if exact < 0 and deletion != (top + 2 + slack) // 2:
                 continue
             exact = max(exact, 0)
-            size = mean / (exact + deletion)
-            empty = math.exp(-size)
-            left = max(0.0, exact * empty + 2 * math.sqrt(exact * empty) - slack - spare)
+            size = sizes / (exact + deletion)
+            empty = np.exp(-size)
+            # a set meets others in the empty segments that it has to probe and in its nearly empty deletion segments
+            left = np.maximum(0.0, exact * empty + 2 * np.sqrt(exact * empty) - slack - spare)
             met = sets * (left * empty + deletion * ((1 + size) * empty) ** 2)
-            cost = exact + deletion * (1 + size) + MEETING_COST * met
+            cost = float(np.mean(exact + deletion * (1 + size) + MEETING_COST * met))
             if best is None or cost < best[0]:
                 best = (cost, exact, deletion)
     return Band(number, low, high, best[1], best[2])
@@ -283,30 +284,21 @@ def meetings(blocks: DataFrame, t: Threshold) -> DataFrame:
         block["role"] = role
         run_start = np.flatnonzero(np.concatenate([[True], block["signature"][1:] != block["signature"][:-1]]))
         length = np.diff(np.append(run_start, len(block)))
-        pairs = []
-        few = run_start[(length > 1) & (length <= FEW)]
-        sizes = length[(length > 1) & (length <= FEW)]
-        for i in range(FEW):
-            for j in range(i + 1, FEW):
-                at = few[sizes > j]
-                if len(at):
-                    pairs.append((at + i, at + j))
-        if pairs:
-            x, y = (np.concatenate(p) for p in zip(*pairs, strict=True))
-            swap = block["size"][x] > block["size"][y]
-            x, y = np.where(swap, y, x), np.where(swap, x, y)
-            small, large = block["size"][x].astype(np.int64), block["size"][y].astype(np.int64)
-            even = small == large
-            rx, ry = block["role"][x], block["role"][y]
-            meet = ((rx & PROBES) > 0) & ((ry & INDEXED) > 0) | even & ((ry & PROBES) > 0) & ((rx & INDEXED) > 0)
-            meet &= t.num * large <= t.den * small
-            both = np.unique(np.stack([block["print"][x][meet], block["print"][y][meet]], axis=1), axis=0)
-            both.sort(axis=1)
-            both = np.unique(both, axis=0)
-        else:
-            both = np.empty((0, 2), np.int64)
-        many = np.repeat(length > FEW, length)
-        hot, classes = block[many], np.repeat(length, length)[many]
+        # pairs of a prober and an indexed class; where few of a meeting's classes probe, these are few
+        run = np.repeat(np.arange(len(length)), length)
+        probing = (block["role"] & PROBES) > 0
+        probers = np.bincount(run, weights=probing, minlength=len(length)).astype(np.int64)
+        listed = (length > 1) & (probers > 0) & (probers <= FEW)
+        order = np.flatnonzero(probing & listed[run])
+        x = np.repeat(order, length[run[order]])
+        y = np.arange(len(x)) - np.repeat(np.cumsum(length[run[order]]) - length[run[order]], length[run[order]]) + run_start[run[x]] if len(x) else x
+        small, large = block["size"][x].astype(np.int64), block["size"][y].astype(np.int64)
+        meet = (x != y) & ((block["role"][y] & INDEXED) > 0) & (small <= large) & (t.num * large <= t.den * small)
+        both = np.stack([block["print"][x][meet], block["print"][y][meet]], axis=1).astype(np.int64)
+        both.sort(axis=1)
+        both = np.unique(both, axis=0)
+        many = ((length > 1) & (probers > FEW))[run]
+        hot, classes = block[many], length[run][many]
         n, m = len(both), len(hot)
         zeros = np.zeros(n, np.int64)
         return pa.table(
@@ -359,21 +351,23 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, t: Threshold) -> Da
 def rest_links(hot: DataFrame, texts: DataFrame, width: int, t: Threshold) -> DataFrame:
     """Links between members of a large meeting that are in different components so far.
 
-    ``hot``: (signature, node, component, size, others), others being the number of members of the meeting. Members are
-    dealt into blocks, and each pair of blocks is a task of bounded size; a pair of members is compared in the first
-    meeting that they share. Only links that join components not yet joined in the task are returned.
+    ``hot``: (signature, node, component, main), main being the largest component of the meeting. Members outside the main component are compared with all members, block by block, so a task is of
+    bounded size; a pair is compared in the first meeting that both share. Only links that join components not yet joined
+    in the task are returned.
     """
     meetings_of = hot.groupBy("node").agg(F.sort_array(F.collect_set("signature")).alias("shared"))
-    blocks = F.ceil(F.col("others") / BLOCK).cast("long")
-    dealt = hot.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    task = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = dealt.withColumn("other", task).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    rows = dealt.join(meetings_of, "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
+    asks = F.col("component") != F.col("main")
+    counted = hot.groupBy("signature").agg(F.ceil(F.count_if(asks) / BLOCK).cast("long").alias("ask_blocks"), F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    dealt = hot.withColumn("asks", asks).join(counted, "signature")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    asking = dealt.filter("asks").withColumns({"i": own("ask_blocks"), "j": F.explode(F.sequence(zero, F.col("blocks") - one))})
+    held = dealt.withColumns({"asks": F.lit(False), "i": F.explode(F.sequence(zero, F.col("ask_blocks") - one)), "j": own("blocks")})
+    rows = asking.unionByName(held).join(meetings_of, "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        i, j, here = int(part["i"].iloc[0]), int(part["j"].iloc[0]), int(part["signature"].iloc[0])
-        members = sorted(zip(part["node"], part["component"], part["block"], part["text"], part["shared"], strict=True))
-        root = {c: c for _, c, *_ in members}
+        here = int(part["signature"].iloc[0])
+        root = {c: c for c in part["component"]}
 
         def find(c: int) -> int:
             while root[c] != c:
@@ -381,15 +375,21 @@ def rest_links(hot: DataFrame, texts: DataFrame, width: int, t: Threshold) -> Da
                 c = root[c]
             return c
 
-        sets = [shingles(text, width) for *_, text, _ in members]
-        shared = [set(map(int, s)) for *_, s in members]
+        sets: dict[int, set] = {}
+        shared = {n: set(map(int, s)) for n, s in zip(part["node"], part["shared"], strict=True)}
+        text = dict(zip(part["node"], part["text"], strict=True))
+
+        def set_of(node: int) -> set:
+            if node not in sets:
+                sets[node] = shingles(text[node], width)
+            return sets[node]
+
+        part = part.sort_values("node")
         links = []
-        for x, (a, ca, block_a, *_) in enumerate(members):
-            for y in range(x):
-                b, cb, block_b = members[y][:3]
-                if (min(block_a, block_b), max(block_a, block_b)) != (i, j) or find(ca) == find(cb):
-                    continue
-                if min(shared[x] & shared[y]) == here and similar(sets[x], sets[y], t):
+        there = part[~part["asks"]]
+        for a, ca in zip(*(part[part["asks"]][c].tolist() for c in ("node", "component")), strict=True):
+            for b, cb in zip(there["node"].tolist(), there["component"].tolist(), strict=True):
+                if find(ca) != find(cb) and min(shared[a] & shared[b]) == here and similar(set_of(a), set_of(b), t):
                     root[find(ca)] = find(cb)
                     links.append((a, b))
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
@@ -431,8 +431,9 @@ def similar_components(df: DataFrame, width: int = 5, num: int = 80, den: int =
     joined = components(links)
     if not hot.isEmpty():
         apart = hot.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        several = apart.groupBy("signature").agg(F.count("*").alias("others"), (F.min("component") != F.max("component")).alias("several")).filter("several")
-        apart = apart.join(several, "signature").select("signature", "node", "component", "others")
+        parts = apart.groupBy("signature", "component").agg(F.count("*").alias("n"))
+        several = parts.groupBy("signature").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
+        apart = checkpointed(apart.join(several, "signature").select("signature", "node", "component", "main"))
         links = links.unionAll(rest_links(apart, texts, width, t))
         joined = components(links)
     of_class = classes.join(joined, "node", "left").select(*key, F.coalesce("component", "node").alias("component"))

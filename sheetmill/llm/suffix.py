@@ -35,7 +35,7 @@ from .common import Polynomial, chunks, doc_text, mix, partitions, table
 #: Bytes of an anchor.
 ANCHOR = 36
 #: Bytes of text of a group of documents, and index entries of a bucket, about.
-GROUP_BYTES, BUCKET_ENTRIES = 12 << 20, 250_000
+GROUP_BYTES, BUCKET_ENTRIES = 5 << 20, 250_000
 TOP = np.uint64(0xFFFFFFFF00000000)
 LOW = np.uint64(0x00000000FFFFFFFF)
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -275,11 +275,10 @@ def removed_spans(contexts: DataFrame, length: int) -> DataFrame:
 
     def run(part: pa.Table) -> pa.Table:
         head = np.concatenate([np.frombuffer(h, CONTEXT) for h in part.column("heads").to_pylist()])
-        body = np.frombuffer(b"".join(part.column("bytes").to_pylist()), np.uint8)
+        raw = b"".join(part.column("bytes").to_pylist())
         offsets = np.concatenate([[0], np.cumsum(head["size"].astype(np.int64))])
-        poly = Polynomial()
-        prefix = poly.prefix(body)
-        content = poly.ranges(prefix, offsets[:-1], offsets[1:])
+        digest = b"".join([hashlib.blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(offsets.tolist(), offsets[1:].tolist(), strict=False)])
+        content = np.frombuffer(digest, "<u8")
         order = np.lexsort((head["start"], head["row"], head["doc"], content, head["hash"]))
         head, content, starts = head[order], content[order], offsets[:-1][order]
         equal = np.zeros(len(head), dtype=bool)
@@ -293,7 +292,6 @@ def removed_spans(contexts: DataFrame, length: int) -> DataFrame:
         inner = np.flatnonzero(several)
         # a few thousand strings at a time, never cutting an anchor's contexts apart
         cut = 0
-        raw = body.tobytes()
         while cut < len(inner):
             end = min(cut + 4096, len(inner))
             while end < len(inner) and head["hash"][inner[end]] == head["hash"][inner[end - 1]]:
