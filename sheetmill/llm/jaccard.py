@@ -9,7 +9,8 @@ some segment. A set is indexed in its own band and probes it, and the next band
 
 Allocation by cost: for each band the number of deletion segments and the slack (value beyond H + 1) are chosen by the
 expected number of index entries and of chance meetings, given the band's number of sets. A set does not probe its exact
-segments with the fewest elements as far as its slack allows: small subsets, empty ones above all, meet too many others.
+segments with the fewest uncommon elements as far as its slack allows: such subsets, empty ones above all, meet too many
+others. Which shingles are common is seen on a bounded sample; it changes the cost alone, not the pairs found.
 
 Sets that are equal (128-bit fingerprints) form one class; the join runs over classes. Index entries travel in binary blocks
 by hash bucket, so a bucket is a bounded array. Where few classes meet, all pairs are candidates. Where many meet, only
@@ -46,7 +47,9 @@ BLOCK = 256
 #: Index entries of a bucket, about, and bytes of text after which blocks are sent on.
 BUCKET_ENTRIES, FLUSH_BYTES = 250_000, 8 << 20
 #: Cost of verifying one chance meeting, in index entries.
-MEETING_COST = 4.0
+MEETING_COST = 30.0
+#: Documents of the sample that shows which shingles are common, and the share of them that makes one common.
+COMMON_SAMPLE, COMMON_SHARE = 4000, 0.0025
 
 
 @dataclass(frozen=True)
@@ -177,10 +180,27 @@ def set_rows(rows: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, print_a long, print_b long")
 
 
-def entries(texts: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, chosen: np.ndarray, band_of: np.ndarray, bands: list[Band], t: Threshold, own: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def common_shingles(rows: DataFrame, documents: int, width: int) -> np.ndarray:
+    """Hashes of shingles that are common in a bounded sample; they only decide what is cheap to leave out."""
+    share = min(1.0, COMMON_SAMPLE / max(1, documents))
+    least = max(3, int(COMMON_SHARE * min(COMMON_SAMPLE, documents)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = ShingleSets(width)
+        for batch in batches:
+            for _, data, offsets in chunks(batch.column(0), batch.column(1)):
+                hashes, n = np.unique(sets.of(data, offsets)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], names=["hash", "n"])
+
+    found = rows.sample(share, seed=4).mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("hash").collect()
+    return np.sort(np.array([r.hash for r in found], dtype=np.int64).view(np.uint64))
+
+
+def entries(texts: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, chosen: np.ndarray, band_of: np.ndarray, bands: list[Band], t: Threshold, own: bool, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(signature, text, probes) of the index entries of the chosen texts in the bands given for each text.
 
-    ``own``: the text belongs to the band and all its entries are indexed; else only what it probes is returned.
+    ``own``: the text belongs to the band and all its entries are indexed; else only what it probes is returned. ``rare``
+    tells which elements are not common.
     """
     n = len(sizes)
     exact = np.array([b.exact for b in bands], dtype=np.int64)[band_of]
@@ -193,7 +213,7 @@ def entries(texts: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, chosen: np
     at = base[owner] + place.astype(np.int64)
     element = mix(element ^ ELEMENT)
     subset = sum_by(at, element, base[-1])
-    size = np.bincount(at, minlength=base[-1])
+    size = np.bincount(at, weights=rare[here], minlength=base[-1])
     text = np.repeat(np.arange(n), segments)
     segment = np.arange(base[-1]) - base[text]
     is_exact = segment < exact[text]
@@ -221,7 +241,7 @@ INDEXED, PROBES = 1, 2
 ENTRY = np.dtype([("signature", "<u8"), ("print", "<i8"), ("size", "<u4"), ("role", "u1")])
 
 
-def index_blocks(rows: DataFrame, width: int, t: Threshold, bands: list[Band], buckets: int) -> DataFrame:
+def index_blocks(rows: DataFrame, width: int, t: Threshold, bands: list[Band], buckets: int, common: np.ndarray) -> DataFrame:
     """(bucket, block): the index entries of all sets, in binary blocks. Equal sets of one partition are sent once."""
     edges = np.array([b.low for b in bands], dtype=np.int64)
 
@@ -242,6 +262,7 @@ def index_blocks(rows: DataFrame, width: int, t: Threshold, bands: list[Band], b
             for _, data, offsets in chunks(batch.column(0), batch.column(1)):
                 texts, hashes, sizes = sets.of(data, offsets)
                 a, b = prints(texts, hashes, sizes)
+                rare = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] != hashes if len(common) else np.ones(len(hashes), bool)
                 fresh = np.zeros(len(sizes), dtype=bool)
                 for i, key in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
                     if sizes[i] and key not in seen:
@@ -252,7 +273,7 @@ def index_blocks(rows: DataFrame, width: int, t: Threshold, bands: list[Band], b
                 reach = fresh & (band + 1 < len(bands)) & (t.largest(sizes) >= edges[after])
                 for own, chosen, where in ((True, fresh, band), (False, reach, after)):
                     if chosen.any():
-                        signature, who, probing = entries(texts, hashes, sizes, chosen, where, bands, t, own)
+                        signature, who, probing = entries(texts, hashes, sizes, chosen, where, bands, t, own, rare)
                         out = np.empty(len(signature), dtype=ENTRY)
                         out["signature"], out["print"], out["size"] = signature, a[who], sizes[who]
                         out["role"] = probing * PROBES + own * INDEXED
@@ -408,14 +429,15 @@ def similar_components(df: DataFrame, width: int = 5, num: int = 80, den: int =
     largest = classes.agg(F.max("n_shingles")).first()[0] or 0
     edges = band_edges(largest, t)
     cuts = F.array(*map(F.lit, edges))
-    per_band = classes.groupBy(F.size(F.filter(cuts, lambda e: e <= F.col("n_shingles"))).alias("band")).agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("elements")).collect()
+    per_band = classes.groupBy(F.size(F.filter(cuts, lambda e: e <= F.col("n_shingles"))).alias("band")).agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("elements"), F.sum("copies").alias("documents")).collect()
     count = {r.band - 1: r.sets for r in per_band}
     bands = [allocate(i, low, high, count.get(i, 0) + count.get(i - 1, 0), t) for i, (low, high) in enumerate(zip(edges, edges[1:], strict=False))]
     total = sum(r.elements for r in per_band)
     buckets = max(4 * partitions(df), total // (2 * BUCKET_ENTRIES))
     if not bands:
         return sets.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    met = checkpointed(meetings(index_blocks(rows, width, t, bands, buckets), t))
+    common = common_shingles(rows, sum(r.documents for r in per_band), width)
+    met = checkpointed(meetings(index_blocks(rows, width, t, bands, buckets, common), t))
     named = classes.select(F.col("print_a").alias("p"), "node", "copies")
     few = met.filter("classes = 0").select("a", "b").distinct()
     few = few.join(named.select(F.col("p").alias("a"), F.col("node").alias("x")), "a").join(named.select(F.col("p").alias("b"), F.col("node").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
