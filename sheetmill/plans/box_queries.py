@@ -211,12 +211,15 @@ def label_regions(spark, sf_dir):
 
 # ---- boxes -----------------------------------------------------------------------------------------------------------
 
-BOX = [F.col(n) for n in "xywh"]
+
+
+def box():
+    return [F.col(n) for n in "xywh"]
 
 
 @register("bbox_to_abs_trunc", f"SELECT pdf_path, page_index, CAST(greatest(0, trunc((x - 0.01) * page_w)) AS int) AS x0, CAST(greatest(0, trunc((y - 0.01) * page_h)) AS int) AS y0, CAST(least(page_w, trunc((x + w + 0.01) * page_w)) AS int) AS x1, CAST(least(page_h, trunc((y + h + 0.01) * page_h)) AS int) AS y1 FROM {duck('boxes')} WHERE x IS NOT NULL")
 def bbox_to_abs_trunc(spark, sf_dir):
-    found = g.share_to_pixels(*BOX, F.col("page_w"), F.col("page_h"), 0.01)
+    found = g.share_to_pixels(*box(), F.col("page_w"), F.col("page_h"), 0.01)
     return relation(spark, sf_dir, "boxes").filter("x IS NOT NULL").select(*PAGE, *(c.alias(n) for n, c in found.items()))
 
 
@@ -229,7 +232,7 @@ ROUNDED = f"SELECT *, least(greatest(0, {sql_round('x', 'page_w')} - 5), page_w
 
 @register("bbox_to_abs_round", f"SELECT pdf_path, page_index, x0, y0, least(greatest(x0 + 1, {sql_round('(x + w)', 'page_w')} + 5), page_w) AS x1, least(greatest(y0 + 1, {sql_round('(y + h)', 'page_h')} + 5), page_h) AS y1 FROM ({ROUNDED})")
 def bbox_to_abs_round(spark, sf_dir):
-    found = g.share_to_pixels_rounded(*BOX, F.col("page_w"), F.col("page_h"), 5)
+    found = g.share_to_pixels_rounded(*box(), F.col("page_w"), F.col("page_h"), 5)
     return relation(spark, sf_dir, "boxes").filter("x IS NOT NULL").select(*PAGE, *(c.alias(n) for n, c in found.items()))
 
 
