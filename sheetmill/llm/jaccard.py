@@ -8,9 +8,9 @@ they also meet when the subsets differ in one element. If the values add up to m
 some segment. A set is indexed in its own band and probes it, and the next band if a partner can be there.
 
 Allocation by cost: for each band the number of deletion segments and the slack (value beyond H + 1) are chosen by the
-expected number of index entries and of chance meetings, given the band's number of sets. A set does not probe its exact
-segments with the fewest uncommon elements as far as its slack allows: such subsets, empty ones above all, meet too many
-others. Which shingles are common is seen on a bounded sample; it changes the cost alone, not the pairs found.
+expected number of index entries and of chance meetings, given the band's number of sets. Once the sizes of all meetings are
+known, each set leaves out its largest ones as far as its spare value goes: small subsets, empty ones above all, and those
+of passages that many documents share.
 
 Sets that are equal (128-bit fingerprints) form one class; the join runs over classes. Index entries travel in binary blocks
 by hash bucket, so a bucket is a bounded array. Where few classes meet, all pairs are candidates. Where many meet, only
@@ -32,7 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, Polynomial, checkpointed, chunks, doc_text, mix, mixed, partitions, table, word_bounds
@@ -40,16 +40,14 @@ from .components import components
 
 STEP = tuple(np.uint64(mixed(i) | 1) for i in range(1, 65))
 PRINT_A, PRINT_B, PLACE, ELEMENT, SALT = (np.uint64(mixed(1000 + i)) for i in range(5))
-#: Probing classes that may meet in one index entry before pairs with a pivot stand for all pairs.
-FEW = 8
+#: Classes that may meet in one index entry before pairs with a pivot stand for all pairs.
+FEW = 6
 #: Classes of one block when the rest of such a meeting is compared.
 BLOCK = 256
 #: Index entries of a bucket, about, and bytes of text after which blocks are sent on.
 BUCKET_ENTRIES, FLUSH_BYTES = 250_000, 8 << 20
 #: Cost of verifying one chance meeting, in index entries.
 MEETING_COST = 30.0
-#: Documents of the sample that shows which shingles are common, and the share of them that makes one common.
-COMMON_SAMPLE, COMMON_SHARE = 4000, 0.0025
 
 
 @dataclass(frozen=True)
@@ -180,27 +178,10 @@ def set_rows(rows: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, print_a long, print_b long")
 
 
-def common_shingles(rows: DataFrame, documents: int, width: int) -> np.ndarray:
-    """Hashes of shingles that are common in a bounded sample; they only decide what is cheap to leave out."""
-    share = min(1.0, COMMON_SAMPLE / max(1, documents))
-    least = max(3, int(COMMON_SHARE * min(COMMON_SAMPLE, documents)))
+def entries(texts: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, chosen: np.ndarray, band_of: np.ndarray, bands: list[Band], t: Threshold) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, text, whether of a deletion segment) of the chosen texts in the bands given, and each text's spare value.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = ShingleSets(width)
-        for batch in batches:
-            for _, data, offsets in chunks(batch.column(0), batch.column(1)):
-                hashes, n = np.unique(sets.of(data, offsets)[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], names=["hash", "n"])
-
-    found = rows.sample(share, seed=4).mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("hash").collect()
-    return np.sort(np.array([r.hash for r in found], dtype=np.int64).view(np.uint64))
-
-
-def entries(texts: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, chosen: np.ndarray, band_of: np.ndarray, bands: list[Band], t: Threshold, own: bool, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(signature, text, probes) of the index entries of the chosen texts in the bands given for each text.
-
-    ``own``: the text belongs to the band and all its entries are indexed; else only what it probes is returned. ``rare``
-    tells which elements are not common.
+    Two similar sets differ in at most ``gap`` elements, so a set has to probe segments of value gap + 1; the rest is spare.
     """
     n = len(sizes)
     exact = np.array([b.exact for b in bands], dtype=np.int64)[band_of]
@@ -213,35 +194,27 @@ def entries(texts: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, chosen: np
     at = base[owner] + place.astype(np.int64)
     element = mix(element ^ ELEMENT)
     subset = sum_by(at, element, base[-1])
-    size = np.bincount(at, weights=rare[here], minlength=base[-1])
     text = np.repeat(np.arange(n), segments)
     segment = np.arange(base[-1]) - base[text]
-    is_exact = segment < exact[text]
-    # elements by which a partner of the largest size can differ, and the value that may be left out beyond it
+    deletion = segment >= exact[text]
     top = np.array([b.high - 1 for b in bands], dtype=np.int64)[band_of]
     value = np.array([b.value for b in bands], dtype=np.int64)[band_of]
-    spare = value - 1 - t.gap(sizes, np.minimum(t.largest(sizes), top))
-    order = np.lexsort((subset, size, ~is_exact, text))
-    rank = np.empty(len(order), dtype=np.int64)
-    rank[order] = np.arange(len(order)) - base[text[order]]
-    probes = ~is_exact | (rank >= spare[text])
+    spare = np.maximum(0, value - 1 - t.gap(sizes, np.minimum(t.largest(sizes), top)))
     salt = mix((band_of[text].astype(np.uint64) << np.uint64(40)) + segment.astype(np.uint64) + SALT)
-    signature, who, probing = mix(subset + salt), text, probes
-    lost = ~is_exact[at]
+    signature, who, kind = mix(subset + salt), text, deletion
+    lost = deletion[at]
     if lost.any():
         gone = mix(subset[at[lost]] - element[lost] + salt[at[lost]])
-        signature, who, probing = np.concatenate([signature, gone]), np.concatenate([who, owner[lost]]), np.concatenate([probing, np.ones(len(gone), bool)])
-    if not own:
-        signature, who, probing = signature[probing], who[probing], probing[probing]
-    return signature, who, probing
+        signature, who, kind = np.concatenate([signature, gone]), np.concatenate([who, owner[lost]]), np.concatenate([kind, np.ones(len(gone), bool)])
+    return signature, who, kind, spare
 
 
-#: What an entry does.
-INDEXED, PROBES = 1, 2
-ENTRY = np.dtype([("signature", "<u8"), ("print", "<i8"), ("size", "<u4"), ("role", "u1")])
+#: What an entry is: indexed in its own band (else it only probes the next one), of a deletion segment.
+INDEXED, DELETION = 1, 2
+ENTRY = np.dtype([("signature", "<u8"), ("print", "<i8"), ("size", "<u4"), ("spare", "<u2"), ("role", "u1")])
 
 
-def index_blocks(rows: DataFrame, width: int, t: Threshold, bands: list[Band], buckets: int, common: np.ndarray) -> DataFrame:
+def index_blocks(rows: DataFrame, width: int, t: Threshold, bands: list[Band], buckets: int) -> DataFrame:
     """(bucket, block): the index entries of all sets, in binary blocks. Equal sets of one partition are sent once."""
     edges = np.array([b.low for b in bands], dtype=np.int64)
 
@@ -262,7 +235,6 @@ def index_blocks(rows: DataFrame, width: int, t: Threshold, bands: list[Band], b
             for _, data, offsets in chunks(batch.column(0), batch.column(1)):
                 texts, hashes, sizes = sets.of(data, offsets)
                 a, b = prints(texts, hashes, sizes)
-                rare = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] != hashes if len(common) else np.ones(len(hashes), bool)
                 fresh = np.zeros(len(sizes), dtype=bool)
                 for i, key in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
                     if sizes[i] and key not in seen:
@@ -273,10 +245,11 @@ def index_blocks(rows: DataFrame, width: int, t: Threshold, bands: list[Band], b
                 reach = fresh & (band + 1 < len(bands)) & (t.largest(sizes) >= edges[after])
                 for own, chosen, where in ((True, fresh, band), (False, reach, after)):
                     if chosen.any():
-                        signature, who, probing = entries(texts, hashes, sizes, chosen, where, bands, t, own, rare)
+                        signature, who, kind, spare = entries(texts, hashes, sizes, chosen, where, bands, t)
                         out = np.empty(len(signature), dtype=ENTRY)
                         out["signature"], out["print"], out["size"] = signature, a[who], sizes[who]
-                        out["role"] = probing * PROBES + own * INDEXED
+                        out["spare"] = np.minimum(spare, 0xFFFF)[who]
+                        out["role"] = kind * DELETION + own * INDEXED
                         held.append(out)
                 weight += len(data)
                 if weight >= FLUSH_BYTES and held:
@@ -288,7 +261,7 @@ def index_blocks(rows: DataFrame, width: int, t: Threshold, bands: list[Band], b
     return rows.mapInArrow(run, "bucket long, block binary")
 
 
-MEETINGS = "signature long, a long, a_size long, a_role int, b long, classes long"
+MEETINGS = "signature long, a long, b long, role int, spare int, classes long"
 
 
 def meetings(blocks: DataFrame, t: Threshold) -> DataFrame:
@@ -296,46 +269,56 @@ def meetings(blocks: DataFrame, t: Threshold) -> DataFrame:
 
     def run(part: pa.Table) -> pa.Table:
         block = np.frombuffer(b"".join(part.column("block").to_pylist()), dtype=ENTRY)
-        block = block[np.lexsort((block["print"], block["signature"]))]
-        same = (block["signature"][1:] == block["signature"][:-1]) & (block["print"][1:] == block["print"][:-1])
-        # a class once in each meeting, with all its roles there
-        start = np.flatnonzero(np.concatenate([[True], ~same]))
-        role = np.bitwise_or.reduceat(block["role"], start) if len(block) else block["role"]
-        block = block[start]
-        block["role"] = role
-        run_start = np.flatnonzero(np.concatenate([[True], block["signature"][1:] != block["signature"][:-1]]))
-        length = np.diff(np.append(run_start, len(block)))
-        # pairs of a prober and an indexed class; where few of a meeting's classes probe, these are few
-        run = np.repeat(np.arange(len(length)), length)
-        probing = (block["role"] & PROBES) > 0
-        probers = np.bincount(run, weights=probing, minlength=len(length)).astype(np.int64)
-        listed = (length > 1) & (probers > 0) & (probers <= FEW)
-        order = np.flatnonzero(probing & listed[run])
-        x = np.repeat(order, length[run[order]])
-        y = np.arange(len(x)) - np.repeat(np.cumsum(length[run[order]]) - length[run[order]], length[run[order]]) + run_start[run[x]] if len(x) else x
+        block = block[np.lexsort((-(block["role"].astype(np.int8) & INDEXED), block["print"], block["signature"]))]
+        # a class once in each meeting
+        new = np.ones(len(block), dtype=bool)
+        new[1:] = (block["signature"][1:] != block["signature"][:-1]) | (block["print"][1:] != block["print"][:-1])
+        block = block[new]
+        first = np.ones(len(block), dtype=bool)
+        first[1:] = block["signature"][1:] != block["signature"][:-1]
+        start = np.flatnonzero(first)
+        length = np.diff(np.append(start, len(block)))
+        pairs = [np.empty((2, 0), np.int64)]
+        for n in range(2, FEW + 1):
+            at = start[length == n]
+            pairs += [np.stack([at + i, at + j]) for i in range(n) for j in range(i + 1, n)]
+        x, y = np.concatenate(pairs, axis=1)
+        swap = block["size"][x] > block["size"][y]
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
         small, large = block["size"][x].astype(np.int64), block["size"][y].astype(np.int64)
-        meet = (x != y) & ((block["role"][y] & INDEXED) > 0) & (small <= large) & (t.num * large <= t.den * small)
-        both = np.stack([block["print"][x][meet], block["print"][y][meet]], axis=1).astype(np.int64)
+        held = (block["role"] & INDEXED) > 0
+        meet = (held[y] | (small == large) & held[x]) & (t.num * large <= t.den * small)
+        both = np.stack([block["print"][x][meet], block["print"][y][meet]], axis=1)
         both.sort(axis=1)
         both = np.unique(both, axis=0)
-        many = ((length > 1) & (probers > FEW))[run]
-        hot, classes = block[many], length[run][many]
-        n, m = len(both), len(hot)
-        zeros = np.zeros(n, np.int64)
-        return pa.table(
-            {
-                "signature": pa.array(np.concatenate([zeros, hot["signature"].view(np.int64) if m else np.empty(0, np.int64)])),
-                "a": pa.array(np.concatenate([both[:, 0], hot["print"]])),
-                "a_size": pa.array(np.concatenate([zeros, hot["size"].astype(np.int64)])),
-                "a_role": pa.array(np.concatenate([zeros, hot["role"].astype(np.int64)]).astype(np.int32)),
-                "b": pa.array(np.concatenate([both[:, 1], np.zeros(m, np.int64)])),
-                "classes": pa.array(np.concatenate([zeros, classes])),
-            }
-        )
+        many = np.repeat(length > FEW, length)
+        hot, classes = block[many], np.repeat(length, length)[many]
+        zeros = np.zeros(len(both), np.int64)
+        columns = {
+            "signature": (zeros, np.ascontiguousarray(hot["signature"]).view(np.int64)),
+            "a": (both[:, 0], hot["print"]),
+            "b": (both[:, 1], np.zeros(len(hot), np.int64)),
+            "role": (zeros, hot["role"]),
+            "spare": (zeros, hot["spare"]),
+            "classes": (zeros, classes),
+        }
+        kinds = {"role": np.int32, "spare": np.int32}
+        return pa.table({n: pa.array(np.concatenate([v.astype(kinds.get(n, np.int64)) for v in c])) for n, c in columns.items()})
 
     return blocks.groupBy("bucket").applyInArrow(run, MEETINGS)
 
 
+def allocated(hot: DataFrame) -> DataFrame:
+    """Adds probes: whether a member of a large meeting has to probe there.
+
+    Now that the meetings' sizes are known, each class leaves out its largest ones in exact segments as far as its spare
+    value goes, in its own band and in the next one separately.
+    """
+    own = F.col("role").bitwiseAND(INDEXED)
+    rank = F.row_number().over(Window.partitionBy("a", own, F.col("role").bitwiseAND(DELETION)).orderBy(F.desc("classes"), "signature"))
+    return hot.withColumn("probes", (rank > F.col("spare")) | (F.col("role").bitwiseAND(DELETION) > 0))
+
+
 def shingles(text: str, width: int) -> set[tuple[bytes, ...]]:
     """The exact set of a text."""
     words = text.encode().lower().split()
@@ -369,26 +352,48 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, t: Threshold) -> Da
     return joined.mapInArrow(run, "a long, b long")
 
 
+def overlaps(a: list[set], b: list[set], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of every set of ``a`` with every set of ``b``, by products of 0-1 matrices of bounded width."""
+    column: dict = {}
+    for s in a:
+        for x in s:
+            column.setdefault(x, len(column))
+    places = []
+    for sets in (a, b):
+        found = [np.array([column[x] for x in s if x in column], dtype=np.int64) for s in sets]
+        row = np.repeat(np.arange(len(sets)), [len(f) for f in found])
+        at = np.concatenate([np.empty(0, np.int64), *found])
+        order = np.argsort(at, kind="stable")
+        places.append((row[order], at[order]))
+    both = np.zeros((len(a), len(b)), dtype=np.float32)
+    for low in range(0, len(column), columns):
+        part = []
+        for sets, (row, at) in zip((a, b), places, strict=True):
+            first, last = np.searchsorted(at, (low, low + columns))
+            m = np.zeros((len(sets), columns), dtype=np.float32)
+            m[row[first:last], at[first:last] - low] = 1
+            part.append(m)
+        both += part[0] @ part[1].T
+    return both.astype(np.int64)
+
+
 def rest_links(hot: DataFrame, texts: DataFrame, width: int, t: Threshold) -> DataFrame:
     """Links between members of a large meeting that are in different components so far.
 
-    ``hot``: (signature, node, component, main), main being the largest component of the meeting. Members outside the main component are compared with all members, block by block, so a task is of
-    bounded size; a pair is compared in the first meeting that both share. Only links that join components not yet joined
-    in the task are returned.
+    ``hot``: (signature, node, component, probes). Members that probe are compared with all members, block by block, so a
+    task is of bounded size. Only links that join components not yet joined in the task are returned.
     """
-    meetings_of = hot.groupBy("node").agg(F.sort_array(F.collect_set("signature")).alias("shared"))
-    asks = F.col("component") != F.col("main")
+    asks = F.col("probes")
     counted = hot.groupBy("signature").agg(F.ceil(F.count_if(asks) / BLOCK).cast("long").alias("ask_blocks"), F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
     dealt = hot.withColumn("asks", asks).join(counted, "signature")
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     asking = dealt.filter("asks").withColumns({"i": own("ask_blocks"), "j": F.explode(F.sequence(zero, F.col("blocks") - one))})
     held = dealt.withColumns({"asks": F.lit(False), "i": F.explode(F.sequence(zero, F.col("ask_blocks") - one)), "j": own("blocks")})
-    rows = asking.unionByName(held).join(meetings_of, "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
+    rows = asking.unionByName(held).join(texts.withColumnRenamed("doc_id", "node"), "node")
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        here = int(part["signature"].iloc[0])
-        root = {c: c for c in part["component"]}
+        root = {c: c for c in part["component"].tolist()}
 
         def find(c: int) -> int:
             while root[c] != c:
@@ -396,23 +401,19 @@ def rest_links(hot: DataFrame, texts: DataFrame, width: int, t: Threshold) -> Da
                 c = root[c]
             return c
 
-        sets: dict[int, set] = {}
-        shared = {n: set(map(int, s)) for n, s in zip(part["node"], part["shared"], strict=True)}
-        text = dict(zip(part["node"], part["text"], strict=True))
-
-        def set_of(node: int) -> set:
-            if node not in sets:
-                sets[node] = shingles(text[node], width)
-            return sets[node]
-
-        part = part.sort_values("node")
         links = []
-        there = part[~part["asks"]]
-        for a, ca in zip(*(part[part["asks"]][c].tolist() for c in ("node", "component")), strict=True):
-            for b, cb in zip(there["node"].tolist(), there["component"].tolist(), strict=True):
-                if find(ca) != find(cb) and min(shared[a] & shared[b]) == here and similar(set_of(a), set_of(b), t):
-                    root[find(ca)] = find(cb)
-                    links.append((a, b))
+        side = [part[part["asks"]], part[~part["asks"]]]
+        if len(side[0]) and len(side[1]):
+            sets = [[shingles(x, width) for x in s["text"]] for s in side]
+            size = [np.array([len(x) for x in s], dtype=np.int64) for s in sets]
+            both = overlaps(*sets)
+            near = (both > 0) & (t.den * both >= t.num * (size[0][:, None] + size[1] - both))
+            (node_a, node_b), (of_a, of_b) = ([s[c].tolist() for s in side] for c in ("node", "component"))
+            for i, j in zip(*(x.tolist() for x in np.nonzero(near)), strict=True):
+                a, b = find(of_a[i]), find(of_b[j])
+                if a != b:
+                    root[a] = b
+                    links.append((node_a[i], node_b[j]))
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return rows.groupBy("signature", "i", "j").applyInPandas(run, "a long, b long")
@@ -429,19 +430,20 @@ def similar_components(df: DataFrame, width: int = 5, num: int = 80, den: int =
     largest = classes.agg(F.max("n_shingles")).first()[0] or 0
     edges = band_edges(largest, t)
     cuts = F.array(*map(F.lit, edges))
-    per_band = classes.groupBy(F.size(F.filter(cuts, lambda e: e <= F.col("n_shingles"))).alias("band")).agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("elements"), F.sum("copies").alias("documents")).collect()
+    per_band = classes.groupBy(F.size(F.filter(cuts, lambda e: e <= F.col("n_shingles"))).alias("band")).agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("elements")).collect()
     count = {r.band - 1: r.sets for r in per_band}
     bands = [allocate(i, low, high, count.get(i, 0) + count.get(i - 1, 0), t) for i, (low, high) in enumerate(zip(edges, edges[1:], strict=False))]
     total = sum(r.elements for r in per_band)
     buckets = max(4 * partitions(df), total // (2 * BUCKET_ENTRIES))
     if not bands:
         return sets.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    common = common_shingles(rows, sum(r.documents for r in per_band), width)
-    met = checkpointed(meetings(index_blocks(rows, width, t, bands, buckets, common), t))
+    met = checkpointed(meetings(index_blocks(rows, width, t, bands, buckets), t))
     named = classes.select(F.col("print_a").alias("p"), "node", "copies")
     few = met.filter("classes = 0").select("a", "b").distinct()
     few = few.join(named.select(F.col("p").alias("a"), F.col("node").alias("x")), "a").join(named.select(F.col("p").alias("b"), F.col("node").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    hot = checkpointed(met.filter("classes > 0").join(named, F.col("a") == F.col("p")).select("signature", "node", "copies", "classes"))
+    hot = allocated(met.filter("classes > 0"))
+    hot = hot.join(hot.groupBy("signature").agg(F.max("probes").alias("needed")).filter("needed"), "signature")
+    hot = checkpointed(hot.join(named, F.col("a") == F.col("p")).select("signature", "node", "copies", "probes"))
     pivots = hot.groupBy("signature").agg(F.max(F.struct("copies", F.negative("node").alias("node"))).alias("pivot"))
     star = hot.join(pivots, "signature").select(F.col("node").alias("a"), F.negative("pivot.node").alias("b"))
     pairs = few.unionAll(star).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -454,8 +456,8 @@ def similar_components(df: DataFrame, width: int = 5, num: int = 80, den: int =
     if not hot.isEmpty():
         apart = hot.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
         parts = apart.groupBy("signature", "component").agg(F.count("*").alias("n"))
-        several = parts.groupBy("signature").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
-        apart = checkpointed(apart.join(several, "signature").select("signature", "node", "component", "main"))
+        several = parts.groupBy("signature").agg(F.count("*").alias("parts")).filter("parts > 1")
+        apart = checkpointed(apart.join(several, "signature").select("signature", "node", "component", "probes"))
         links = links.unionAll(rest_links(apart, texts, width, t))
         joined = components(links)
     of_class = classes.join(joined, "node", "left").select(*key, F.coalesce("component", "node").alias("component"))
