@@ -10,13 +10,14 @@ some segment. A set is indexed in its own band and probes it, and the next band
 Allocation by cost: for each band the number of deletion segments and the slack (value beyond H + 1) are chosen by the
 expected number of index entries and of chance meetings, given the band's number of sets. Once the sizes of all meetings are
 known, each set leaves out its largest ones as far as its spare value goes: small subsets, empty ones above all, and those
-of passages that many documents share.
+of passages that many documents share. Sets of sizes at which only equal sets are similar have no index.
 
 Sets that are equal (128-bit fingerprints) form one class; the join runs over classes. Index entries travel in binary blocks
-by hash bucket, so a bucket is a bounded array. Where few classes meet, all pairs are candidates. Where many meet, only
-pairs with one pivot (the class with the most documents) are verified first; classes of such a meeting that the links so
-far leave apart are then compared with each other in blocks of bounded size. All candidates are verified on the words of
-both texts. So no pairs within a group are listed, no link between different components is lost, and no cap drops any.
+by hash bucket, so a bucket is a bounded array. Where few classes meet, all pairs are candidates; where more meet, the
+pairs of those that have to probe there. Where very many meet, only pairs with one pivot (the class with the most
+documents) are verified first; classes of such a meeting that the links so far leave apart are then compared in blocks of
+bounded size. All candidates are verified on the words of both texts. So the pairs of a large group are never listed, no
+link between different components is lost, and no cap drops any.
 
 Defined cases: null, empty or blank text has the empty set, is linked with nothing and is its own component; texts with
 fewer words than a shingle have one shingle, all their words; ties cannot arise; repeated doc_ids count as one document of
@@ -42,12 +43,16 @@ STEP = tuple(np.uint64(mixed(i) | 1) for i in range(1, 65))
 PRINT_A, PRINT_B, PLACE, ELEMENT, SALT = (np.uint64(mixed(1000 + i)) for i in range(5))
 #: Classes that may meet in one index entry before pairs with a pivot stand for all pairs.
 FEW = 6
+#: Classes that may meet for the pairs of a class that has to probe there to be listed.
+SOME = 64
 #: Classes of one block when the rest of such a meeting is compared.
 BLOCK = 256
 #: Index entries of a bucket, about, and bytes of text after which blocks are sent on.
 BUCKET_ENTRIES, FLUSH_BYTES = 250_000, 8 << 20
 #: Cost of verifying one chance meeting, in index entries.
 MEETING_COST = 30.0
+#: The least slack as a share of the value needed; it lets sets leave out meetings that passages shared by many make large.
+LEAST_SLACK = 0.12
 
 
 @dataclass(frozen=True)
@@ -95,7 +100,7 @@ def allocate(number: int, low: int, high: int, sets: int, t: Threshold) -> Band:
     sizes = np.unique(np.linspace(low, high - 1, 8).astype(np.int64))
     spare = top - t.gap(sizes, np.minimum(high - 1, t.largest(sizes)))
     best = None
-    for slack in sorted({0, 1, 2, *(math.ceil(top * x) for x in (0.02, 0.04, 0.06, 0.08, 0.12, 0.16))}):
+    for slack in sorted({math.ceil(top * x) for x in (LEAST_SLACK, 0.16, 0.2, 0.3)}):
         for deletion in sorted({0, 1, 2, (top + 1 + slack) // 4, (top + 1 + slack) // 2, (top + 2 + slack) // 2}):
             exact = top + 1 + slack - 2 * deletion
             if exact < 0 and deletion != (top + 2 + slack) // 2:
@@ -242,6 +247,7 @@ def index_blocks(rows: DataFrame, width: int, t: Threshold, bands: list[Band], b
                         fresh[i] = True
                 band = np.maximum(np.searchsorted(edges, sizes, side="right") - 1, 0)
                 after = np.minimum(band + 1, len(bands) - 1)
+                fresh &= (t.gap(sizes, sizes) > 0) | (t.largest(sizes) > sizes) | (t.largest(sizes - 1) >= sizes)  # else only equal sets are similar
                 reach = fresh & (band + 1 < len(bands)) & (t.largest(sizes) >= edges[after])
                 for own, chosen, where in ((True, fresh, band), (False, reach, after)):
                     if chosen.any():
@@ -438,15 +444,18 @@ def similar_components(df: DataFrame, width: int = 5, num: int = 80, den: int =
     if not bands:
         return sets.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     met = checkpointed(meetings(index_blocks(rows, width, t, bands, buckets), t))
-    named = classes.select(F.col("print_a").alias("p"), "node", "copies")
+    named = classes.select(F.col("print_a").alias("p"), "node", "copies", F.col("n_shingles").alias("n"))
     few = met.filter("classes = 0").select("a", "b").distinct()
     few = few.join(named.select(F.col("p").alias("a"), F.col("node").alias("x")), "a").join(named.select(F.col("p").alias("b"), F.col("node").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     hot = allocated(met.filter("classes > 0"))
     hot = hot.join(hot.groupBy("signature").agg(F.max("probes").alias("needed")).filter("needed"), "signature")
-    hot = checkpointed(hot.join(named, F.col("a") == F.col("p")).select("signature", "node", "copies", "probes"))
+    hot = checkpointed(hot.join(named, F.col("a") == F.col("p")).select("signature", "node", "copies", "n", "probes", "classes"))
+    some, hot = hot.filter(F.col("classes") <= SOME), hot.filter(F.col("classes") > SOME)
+    other = some.select("signature", F.col("node").alias("b"), F.col("n").alias("m"))
+    met_some = some.filter("probes").join(other, "signature").filter(f"{t.num} * greatest(n, m) <= {t.den} * least(n, m)").select(F.col("node").alias("a"), "b")
     pivots = hot.groupBy("signature").agg(F.max(F.struct("copies", F.negative("node").alias("node"))).alias("pivot"))
     star = hot.join(pivots, "signature").select(F.col("node").alias("a"), F.negative("pivot.node").alias("b"))
-    pairs = few.unionAll(star).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = few.unionAll(met_some).unionAll(star).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = checkpointed(pairs)
     needed = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
     # one text of each class member that stands for it: the one whose set is the class's
