@@ -9,8 +9,8 @@ corpus, in order of (doc_id, line number). Shorter lines stay. Lines are judged
    probes, for each length from l - threshold to l, the substrings that can match a segment of that length. For a threshold
    of one, the part outside the unchanged segment is cut again in the same way, so a key holds three quarters of a line.
    Keys that only one class has are dropped before the join.
-3. Candidates are verified by the edit distance within a diagonal band of 2 * threshold + 1 cells, a bit for each cell,
-   one step of bit operations a character.
+3. Candidates are verified, without their common prefix and suffix, by the edit distance within a diagonal band of
+   2 * threshold + 1 cells, a bit for each cell, one step of bit operations a character.
 
 Defined cases: null text is empty and stays null; empty and blank lines count as lines; rows with one doc_id share their
 places, so lines at one place stay or go together; an empty table gives no rows; other columns are kept by ``dedup_lines``.
@@ -106,6 +106,33 @@ def band_distance(x: Column, y: Column, threshold: int) -> Column:
     return F.aggregate(same, start, turn, lambda s: s["score"])
 
 
+#: Lengths by which a common prefix or suffix is found; of a longer one the rest is left to the band.
+STEPS = tuple(1 << i for i in range(17, -1, -1))
+
+
+def differing(pairs: DataFrame, threshold: int) -> DataFrame:
+    """Adds x and y, the characters in which two lines may differ, with some common ones at both ends.
+
+    What follows the longest common prefix and precedes the longest common suffix differs at both its ends, so lines within
+    one edit have one character there at most; for that threshold all other pairs are left out.
+    """
+    a, b = F.col("a_line"), F.col("b_line")
+    sizes = {"a": F.length(a), "b": F.length(b)}
+    steps = F.array(*map(F.lit, STEPS))
+
+    def common(limit: Column, start) -> Column:
+        return F.aggregate(steps, F.lit(0), lambda n, k: n + F.when((n + k <= limit) & (F.substring(a, start("a", n, k), k) == F.substring(b, start("b", n, k), k)), k).otherwise(0))
+
+    rows = pairs.withColumn("head", common(F.least(*sizes.values()), lambda s, n, k: n + 1))
+    rows = rows.withColumn("tail", common(F.least(*sizes.values()) - F.col("head"), lambda s, n, k: sizes[s] - n - k + 1))
+    if threshold == 1:
+        rows = rows.filter(F.greatest(*sizes.values()) - F.col("head") - F.col("tail") <= 1)
+    first = F.greatest(F.lit(0), F.col("head") - threshold - 1)
+    after = F.greatest(F.lit(0), F.col("tail") - threshold - 1)
+    chars = lambda line, size: F.split(F.substring(line, first + 1, size - first - after), "")
+    return rows.withColumns({"x": chars(a, sizes["a"]), "y": chars(b, sizes["b"])}).drop("head", "tail")
+
+
 def classes(rows: DataFrame) -> DataFrame:
     """(h1, h2, chars, line, first) of every different line; first is the struct (doc, at) of its earliest place."""
     return rows.groupBy(*KEY).agg(F.min(F.struct("doc", "at")).alias("first"), F.first("line").alias("line"))
@@ -126,8 +153,7 @@ def near_pairs(found: DataFrame, threshold: int, min_chars: int) -> DataFrame:
     for s in "ab":
         side = found.select(*(F.col(k).alias(f"{s}_{k}") for k in KEY), F.col("line").alias(f"{s}_line"), F.col("first").alias(f"{s}_first"))
         pairs = pairs.join(side, [f"{s}_{k}" for k in KEY])
-    chars = {s: F.split(F.col(f"{s}_line"), "") for s in "ab"}
-    pairs = pairs.withColumns({"x": chars["a"], "y": chars["b"]}).drop("a_line", "b_line")
+    pairs = differing(pairs, threshold).drop("a_line", "b_line")
     return pairs.filter(band_distance(F.col("x"), F.col("y"), threshold) <= threshold).drop("x", "y")
 
 
