@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from .common import checkpointed, table
 
 THRESHOLD, MIN_CHARS = 1, 20
+#: Hash buckets by which lines that are in no candidate pair are left out before their text is shuffled again; the set of
+#: buckets is broadcast and has this many rows at most.
+BUCKETS = 1 << 18
 KEY = ("h1", "h2", "chars")
 
 
@@ -138,10 +141,9 @@ def classes(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*KEY).agg(F.min(F.struct("doc", "at")).alias("first"), F.first("line").alias("line"))
 
 
-def near_pairs(found: DataFrame, threshold: int, min_chars: int) -> DataFrame:
-    """(a_*, b_*) of every two classes within the threshold, each pair once, a being the shorter or smaller."""
-    # the filter keeps ``first`` in this branch, so that all branches read one exchange
-    entries = found.filter("first.doc IS NOT NULL OR first.at IS NOT NULL").select(*KEY, F.explode(F.array(*keys(threshold, min_chars))).alias("e"))
+def near_pairs(rows: DataFrame, threshold: int, min_chars: int) -> DataFrame:
+    """(a_*, b_*) of every two classes of lines within the threshold, each pair once, a being the shorter or smaller."""
+    entries = classes(rows).select(*KEY, F.explode(F.array(*keys(threshold, min_chars))).alias("e"))
     entries = entries.select(*KEY, "e.key", "e.probe").filter("key IS NOT NULL")
     shared = entries.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1").drop("n")
     shared = checkpointed(shared)
@@ -149,7 +151,10 @@ def near_pairs(found: DataFrame, threshold: int, min_chars: int) -> DataFrame:
     b = shared.select("key", "probe", *(F.col(k).alias(f"b_{k}") for k in KEY))
     order = F.expr("b_chars > a_chars OR (b_chars = a_chars AND (b_h1, b_h2) > (a_h1, a_h2))") if threshold < 2 else F.expr("b_chars > a_chars OR (b_chars = a_chars AND (probe OR (b_h1, b_h2) > (a_h1, a_h2)) AND NOT (a_h1 = b_h1 AND a_h2 = b_h2))")
     pairs = a.join(b, "key").filter(order).filter(F.expr(f"b_chars - a_chars <= {threshold}"))
-    pairs = pairs.select(*(f"{s}_{k}" for s in "ab" for k in KEY)).distinct()
+    pairs = checkpointed(pairs.select(*(f"{s}_{k}" for s in "ab" for k in KEY)).distinct())
+    bucket = lambda c: F.pmod(F.col(c), F.lit(BUCKETS))
+    wanted = pairs.select(bucket("a_h1").alias("bucket")).unionAll(pairs.select(bucket("b_h1").alias("bucket"))).distinct()
+    found = classes(rows.join(F.broadcast(wanted), bucket("h1") == F.col("bucket"), "left_semi"))
     for s in "ab":
         side = found.select(*(F.col(k).alias(f"{s}_{k}") for k in KEY), F.col("line").alias(f"{s}_line"), F.col("first").alias(f"{s}_first"))
         pairs = pairs.join(side, [f"{s}_{k}" for k in KEY])
@@ -159,10 +164,10 @@ def near_pairs(found: DataFrame, threshold: int, min_chars: int) -> DataFrame:
 
 def earliest(rows: DataFrame, threshold: int, min_chars: int) -> DataFrame:
     """(h1, h2, chars, earliest): the earliest place of every class or of one within the threshold."""
-    found = classes(rows.filter(F.col("chars") >= min_chars))
-    own = found.select(*KEY, F.col("first").alias("place"))
+    rows = rows.filter(F.col("chars") >= min_chars)
+    own = classes(rows).select(*KEY, F.col("first").alias("place"))
     if threshold > 0:
-        pairs = checkpointed(near_pairs(found, threshold, min_chars))
+        pairs = checkpointed(near_pairs(rows, threshold, min_chars))
         for s, o in ("ab", "ba"):
             own = own.unionAll(pairs.select(*(F.col(f"{s}_{k}").alias(k) for k in KEY), F.col(f"{o}_first").alias("place")))
     return own.groupBy(*KEY).agg(F.min("place").alias("earliest"))
