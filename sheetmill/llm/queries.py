@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, jaccard, lines, neighbours, packing, quality, suffix, toxicity
+from . import bpe, chat, jaccard, lines, neighbours, packing, quality, sites, suffix, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": chat.query,
+        "op2_quality_classifier": sites.query,
         "op3_best_fit_packing": packing.query,
         "op4_ngram_jaccard": jaccard.query,
         "op5_line_dedup": lines.query,
