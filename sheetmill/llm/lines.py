@@ -109,31 +109,41 @@ def band_distance(x: Column, y: Column, threshold: int) -> Column:
     return F.aggregate(same, start, turn, lambda s: s["score"])
 
 
-#: Lengths by which a common prefix or suffix is found; of a longer one the rest is left to the band.
-STEPS = tuple(1 << i for i in range(17, -1, -1))
+#: Lengths by which a common prefix or suffix is found; together they exceed any string that a row can hold.
+STEPS = tuple(1 << i for i in range(30, -1, -1))
 
 
-def differing(pairs: DataFrame, threshold: int) -> DataFrame:
-    """Adds x and y, the characters in which two lines may differ, with some common ones at both ends.
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often and in whatever loops ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def within(a: Column, b: Column, threshold: int) -> Column:
+    """Whether two lines are within the threshold, by the band distance of what is between their common ends.
 
     What follows the longest common prefix and precedes the longest common suffix differs at both its ends, so lines within
-    one edit have one character there at most; for that threshold all other pairs are left out.
+    one edit have one character there at most; for that threshold all other pairs need no distance.
     """
-    a, b = F.col("a_line"), F.col("b_line")
-    sizes = {"a": F.length(a), "b": F.length(b)}
+    shorter, longer = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
     steps = F.array(*map(F.lit, STEPS))
 
     def common(limit: Column, start) -> Column:
-        return F.aggregate(steps, F.lit(0), lambda n, k: n + F.when((n + k <= limit) & (F.substring(a, start("a", n, k), k) == F.substring(b, start("b", n, k), k)), k).otherwise(0))
+        bits = F.length(F.bin(limit))  # longer steps than the limit cannot be taken
+        same = lambda n, k: F.substring(a, start(a, n, k), k) == F.substring(b, start(b, n, k), k)
+        return F.aggregate(F.slice(steps, len(STEPS) + 1 - bits, bits), F.lit(0), lambda n, k: n + F.when((n + k <= limit) & same(n, k), k).otherwise(0))
+
+    def verdict(head: Column, tail: Column) -> Column:
+        first = F.greatest(F.lit(0), head - threshold - 1)
+        after = F.greatest(F.lit(0), tail - threshold - 1)
+        chars = lambda line: F.split(F.substring(line, first + 1, F.length(line) - first - after), "")
+        near = once(chars(a), lambda x: once(chars(b), lambda y: band_distance(x, y, threshold) <= threshold))
+        return (longer - head - tail <= 1) & near if threshold == 1 else near
+
+    def ends(head: Column) -> Column:
+        rest = once(shorter - head, lambda limit: common(limit, lambda s, n, k: F.length(s) - n - k + 1))
+        return once(rest, lambda tail: verdict(head, tail))
 
-    rows = pairs.withColumn("head", common(F.least(*sizes.values()), lambda s, n, k: n + 1))
-    rows = rows.withColumn("tail", common(F.least(*sizes.values()) - F.col("head"), lambda s, n, k: sizes[s] - n - k + 1))
-    if threshold == 1:
-        rows = rows.filter(F.greatest(*sizes.values()) - F.col("head") - F.col("tail") <= 1)
-    first = F.greatest(F.lit(0), F.col("head") - threshold - 1)
-    after = F.greatest(F.lit(0), F.col("tail") - threshold - 1)
-    chars = lambda line, size: F.split(F.substring(line, first + 1, size - first - after), "")
-    return rows.withColumns({"x": chars(a, sizes["a"]), "y": chars(b, sizes["b"])}).drop("head", "tail")
+    return once(once(shorter, lambda limit: common(limit, lambda s, n, k: n + 1)), ends)
 
 
 def classes(rows: DataFrame) -> DataFrame:
@@ -158,8 +168,7 @@ def near_pairs(rows: DataFrame, threshold: int, min_chars: int) -> DataFrame:
     for s in "ab":
         side = found.select(*(F.col(k).alias(f"{s}_{k}") for k in KEY), F.col("line").alias(f"{s}_line"), F.col("first").alias(f"{s}_first"))
         pairs = pairs.join(side, [f"{s}_{k}" for k in KEY])
-    pairs = differing(pairs, threshold).drop("a_line", "b_line")
-    return pairs.filter(band_distance(F.col("x"), F.col("y"), threshold) <= threshold).drop("x", "y")
+    return pairs.filter(within(F.col("a_line"), F.col("b_line"), threshold)).drop("a_line", "b_line")
 
 
 def earliest(rows: DataFrame, threshold: int, min_chars: int) -> DataFrame:

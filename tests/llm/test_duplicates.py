@@ -98,6 +98,14 @@ def test_line_dedup_equals_brute_force(spark, threshold):
     assert lines.removed_lines(frame.limit(0), threshold, 20).count() == 0
 
 
+def test_near_copies_of_very_long_lines(spark):
+    rng = random.Random(6)
+    line = "".join(rng.choice("abcdé ") for _ in range(300_000))
+    docs = [(1, line), (2, line[:280_000] + "X" + line[280_001:]), (3, line[:20_000] + line[20_001:]), (4, line[:280_000] + "VWZ" + line[280_003:])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.first_doc for r in lines.removed_lines(frame, 1, 20).collect()} == {2: 1, 3: 1}
+
+
 def test_repeated_bytes_equal_brute_force(spark):
     rng = random.Random(4)
     letters = "abcdefgh é"
