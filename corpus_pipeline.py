@@ -23,8 +23,8 @@ def ordinary(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: without lines that repeat an earlier one, exactly or within one edit."""
-    return counted(lines.dedup_lines(docs))
+    """Operator 5: without lines that repeat an earlier one, exactly or, from MIN_CHARS characters on, within one edit."""
+    return counted(lines.dedup_lines(docs, short_copies=True))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Operator 5: line dedup by a segment-partition edit join, in DataFrame functions only.
 
 A line of at least ``min_chars`` characters goes if an equal line, or one within ``threshold`` edits, stands earlier in the
-corpus, in order of (doc_id, line number). Shorter lines stay. Lines are judged on the input.
+corpus, in order of (doc_id, line number). With ``short_copies`` a shorter line that is not blank goes if an equal line stands
+earlier; other shorter lines stay. Lines are judged on the input.
 
 1. Equal lines are folded into classes (128-bit hashes), each with its earliest place.
 2. A class of length l is cut into threshold + 1 segments; of two lines within the threshold one segment of the shorter is
@@ -171,33 +172,38 @@ def near_pairs(rows: DataFrame, threshold: int, min_chars: int) -> DataFrame:
     return pairs.filter(within(F.col("a_line"), F.col("b_line"), threshold)).drop("a_line", "b_line")
 
 
-def earliest(rows: DataFrame, threshold: int, min_chars: int) -> DataFrame:
+def judged(min_chars: int, short_copies: bool) -> Column:
+    """Whether a line can go at all."""
+    long_enough = F.col("chars") >= min_chars
+    return long_enough | F.col("line").rlike(r"\S") if short_copies else long_enough
+
+
+def earliest(rows: DataFrame, threshold: int, min_chars: int, short_copies: bool) -> DataFrame:
     """(h1, h2, chars, earliest): the earliest place of every class or of one within the threshold."""
-    rows = rows.filter(F.col("chars") >= min_chars)
-    own = classes(rows).select(*KEY, F.col("first").alias("place"))
+    own = classes(rows.filter(judged(min_chars, short_copies))).select(*KEY, F.col("first").alias("place"))
     if threshold > 0:
-        pairs = checkpointed(near_pairs(rows, threshold, min_chars))
+        pairs = checkpointed(near_pairs(rows.filter(F.col("chars") >= min_chars), threshold, min_chars))
         for s, o in ("ab", "ba"):
             own = own.unionAll(pairs.select(*(F.col(f"{s}_{k}").alias(k) for k in KEY), F.col(f"{o}_first").alias("place")))
     return own.groupBy(*KEY).agg(F.min("place").alias("earliest"))
 
 
-def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = False) -> DataFrame:
     """(doc_id, line_no, first_doc, first_line) of every line to remove, with the earliest line that it repeats."""
     rows = lines(docs, id_col, text_col)
-    places = rows.filter(F.col("chars") >= min_chars).select("doc", "at", *KEY)
-    found = places.join(earliest(rows, threshold, min_chars), list(KEY)).filter(F.col("earliest") < F.struct("doc", "at"))
+    places = rows.filter(judged(min_chars, short_copies)).select("doc", "at", *KEY)
+    found = places.join(earliest(rows, threshold, min_chars, short_copies), list(KEY)).filter(F.col("earliest") < F.struct("doc", "at"))
     return found.select(F.col("doc").alias("doc_id"), F.col("at").alias("line_no"), F.col("earliest.doc").alias("first_doc"), F.col("earliest.at").alias("first_line"))
 
 
-def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = False) -> DataFrame:
     """``docs`` with all its columns, the text without its removed lines; documents without any keep their text as it is."""
-    gone = removed_lines(docs, threshold, min_chars, id_col, text_col).groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set("line_no").alias("__gone"))
+    gone = removed_lines(docs, threshold, min_chars, id_col, text_col, short_copies).groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set("line_no").alias("__gone"))
     text = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains("__gone", i)), "\n")
     rows = docs.join(gone, docs[id_col].cast("long") == F.col("__doc"), "left")
     return rows.withColumn(text_col, F.when(F.col("__gone").isNull(), docs[text_col]).otherwise(text)).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op5_line_dedup: every line of documents that repeats an earlier one, exactly or within one edit."""
-    return removed_lines(table(spark, sf_dir, "documents"))
+    """op5_line_dedup: every line of documents that repeats an earlier one, exactly or, from MIN_CHARS on, within one edit."""
+    return removed_lines(table(spark, sf_dir, "documents"), short_copies=True)

@@ -98,6 +98,18 @@ def test_line_dedup_equals_brute_force(spark, threshold):
     assert lines.removed_lines(frame.limit(0), threshold, 20).count() == 0
 
 
+def test_short_copies_go_in_query_and_pipeline(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = [(1, "Les.\n\nAnd ornd.\n \t"), (2, "Les.\nLet.\n\n \t\nAnd ornd."), (3, "é"), (4, "é\né"), (5, None), (6, "a line of twenty-one\nLes. "), (7, "a line of twenty-onE\nLes. ")]
+    frame = spark.createDataFrame([(i, t, 0) for i, t in docs], "doc_id long, text string, n_chars long")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    out = {(r.doc_id, r.line_no): (r.first_doc, r.first_line) for r in lines.query(spark, str(tmp_path)).collect()}
+    assert out == {(2, 0): (1, 0), (2, 4): (1, 2), (4, 0): (3, 0), (4, 1): (3, 0), (7, 0): (6, 0), (7, 1): (6, 1)}
+    kept = {r.doc_id: r.text for r in corpus_pipeline.fresh_lines(spark, frame, "").collect()}
+    assert kept == dict(docs) | {2: "Let.\n\n \t", 4: "", 7: ""}
+
+
 def test_near_copies_of_very_long_lines(spark):
     rng = random.Random(6)
     line = "".join(rng.choice("abcdé ") for _ in range(300_000))
