@@ -357,3 +357,39 @@ def box_prompt(spark, sf_dir):
 def jsonl_projection(spark, sf_dir):
     box = F.when(F.col("x").isNotNull(), F.struct("x", "w"))
     return relation(spark, sf_dir, "boxes").select(*PAGE, F.coalesce(F.to_json(box), F.lit("null")).alias("bbox_json"))
+
+
+# ---- the same over all pages and words -------------------------------------------------------------------------------
+
+#: The reference's most boxes of a page in a prompt.
+MOST_BOXES = 60
+
+
+@register("pages_list_whole", f"SELECT pdf_path, page_index, page_count FROM {duck('pages')}")
+def pages_list_whole(spark, sf_dir):
+    return relation(spark, sf_dir, "pages").select(*PAGE, "page_count")
+
+
+@register("vector_csv_vs_jsonl_whole", f"SELECT p.pdf_path, p.page_index, CAST(count(m.pdf_path) AS bigint) AS candidates, count(m.pdf_path) > 0 AS in_csv FROM (SELECT DISTINCT pdf_path, page_index FROM {duck('words')}) AS p LEFT JOIN ({DIRECT}) AS m USING (pdf_path, page_index) GROUP BY ALL")
+def vector_csv_vs_jsonl_whole(spark, sf_dir):
+    words = relation(spark, sf_dir, "words")
+    found = vector_matches(roi(words)).groupBy(*PAGE).agg(F.count("*").alias("candidates"))
+    pages = words.select(*PAGE).distinct().join(found, PAGE, "left")
+    return pages.select(*PAGE, F.coalesce("candidates", F.lit(0)).alias("candidates"), F.col("candidates").isNotNull().alias("in_csv"))
+
+
+@register("box_class_join_whole", f"SELECT b.pdf_path, b.page_index, b.word_id, c.field FROM (SELECT * FROM {duck('words')} WHERE word_id <= {MOST_BOXES}) AS b LEFT JOIN (SELECT pdf_path, page_index, word_id // 2 AS k, arg_max(text, word_id) AS field FROM {duck('words')} GROUP BY ALL) AS c ON c.pdf_path = b.pdf_path AND c.page_index = b.page_index AND c.k = b.word_id")
+def box_class_join_whole(spark, sf_dir):
+    """All words of a page are entries, two for each id; boxes in the second half of a page have none."""
+    words = relation(spark, sf_dir, "words")
+    entries = words.withColumn("id", t.letter_id(F.floor(F.col("word_id") / 2).cast("int") - 1)).filter("word_id >= 2")
+    fields = entries.groupBy(*PAGE, "id").agg(F.max_by("text", "word_id").alias("field"))
+    boxes = words.filter(F.col("word_id") <= MOST_BOXES).select(*PAGE, "word_id", t.letter_id(F.col("word_id") - 1).alias("id"))
+    return boxes.join(fields, [*PAGE, "id"], "left").select(*PAGE, "word_id", "field")
+
+
+@register("box_prompt_whole", f"SELECT pdf_path, page_index, string_agg(printf('%d: [%.4f, %.4f]', word_id, x0 / 2384, y0 / 1684), chr(10) ORDER BY word_id) AS prompt FROM {duck('words')} WHERE word_id <= {MOST_BOXES} GROUP BY ALL")
+def box_prompt_whole(spark, sf_dir):
+    line = F.format_string("%d: [%.4f, %.4f]", "word_id", F.col("x0") / 2384, F.col("y0") / 1684)
+    rows = relation(spark, sf_dir, "words").filter(F.col("word_id") <= MOST_BOXES).groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("word_id", line.alias("line")))).alias("l"))
+    return rows.select(*PAGE, F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("prompt"))

@@ -147,6 +147,13 @@ def csv_group_lines(spark, sf_dir):
     return pages.select(*PAGE, F.array_join("lines", "|").alias("lines"), F.size("lines").alias("n"))
 
 
+@register("csv_group_lines_whole", SQL["csv_group_lines"].replace("lines[1:4]", "lines[1:200]"))
+def csv_group_lines_whole(spark, sf_dir):
+    """With the reference's most lines of a page."""
+    pages = classify.page_lines(relation(spark, sf_dir, "lines"), only_anchors=True)
+    return pages.select(*PAGE, F.array_join("lines", "|").alias("lines"), F.size("lines").alias("n"))
+
+
 PAGE_OF, PAGE_SLASH = r"\b(\d{1,3})\s*(?:OF|of)\s*(\d{1,4})\b", r"\b(\d{1,3})\s*/\s*(\d{1,4})\b"
 TOTAL = f"CASE WHEN regexp_matches(x, '{PAGE_OF}') THEN regexp_extract(x, '{PAGE_OF}', 2) ELSE regexp_extract(x, '{PAGE_SLASH}', 2) END"
 STOP = "regexp_matches(upper({0}), 'DRAWING|DWG|DRG|SCALE|DATE|PROJECT|REV|SHEET')"

@@ -199,3 +199,14 @@ def test_entry_runs(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_whole_queries_see_what_the_subsets_leave_out(spark):
+    found = {n: queries.queries()[n](spark, "/root/testdata/sf0.001").collect() for s in ("pages_list", "vector_csv_vs_jsonl", "box_prompt", "csv_group_lines") for n in (s, f"{s}_whole")}
+    assert len(found["pages_list_whole"]) > len(found["pages_list"])
+    for name, size in (("vector_csv_vs_jsonl", lambda r: r.candidates), ("box_prompt", lambda r: len(r.prompt)), ("csv_group_lines", lambda r: r.n)):
+        part, whole = ({(r.pdf_path, r.page_index): size(r) for r in found[n]} for n in (name, f"{name}_whole"))
+        assert part.keys() == whole.keys() and all(part[k] <= whole[k] for k in part), name
+        assert sum(part.values()) < sum(whole.values()), name
+    records = found["vector_csv_vs_jsonl_whole"]
+    assert {r.in_csv for r in records} == {True, False} and all(r.in_csv == (r.candidates > 0) for r in records)
