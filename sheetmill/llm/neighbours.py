@@ -3,9 +3,11 @@
 Vectors are normalised and cut into two halves; each half has its own codebook, so the pairs of codes form a product grid of
 cells. Every vector is indexed in the cell of its two nearest codes. As a query it visits cells in multi-sequence order (by
 the sum of its halves' squared distances to the two codes; the nearest cell is its own) and is compared with everything
-indexed there, in double precision. How many cells are visited is chosen by the recall on a bounded sample of queries that
-are compared with all vectors: the least number at which the share of their neighbours found, over all pairs and also
-as a mean over queries, reaches ``target_recall``. A pair counts once whichever side finds it, so the recall is higher.
+indexed there, in double precision. How many cells are visited is chosen by the recall on sample queries that are compared
+with all vectors: the least number at which the share of their neighbours found, over all pairs and also as a mean over
+queries, reaches ``target_recall``. A pair counts once whichever side finds it, so the recall is higher. Queries are added,
+up to the whole sample, until ENOUGH of them have a neighbour. If MOST_CELLS cells do not reach the target, or too few queries
+have a neighbour to tell, all vectors are compared with all, block by block.
 
 Equal vectors form one class; the search runs over classes, and copies are counted, not compared. What leaves a task is a
 count for each vector and a spanning forest of the links found there, never the pairs. Cells with more than ``block``
@@ -34,8 +36,8 @@ from .common import checkpointed, table
 from .components import components
 
 SAMPLE = 20_000
-#: Sample queries that choose the number of visited cells, the most cells, and the number if no query has a neighbour.
-QUERIES, MOST_CELLS, USUAL_CELLS = 1024, 64, 4
+#: Sample queries that are asked first, how many with a neighbour are enough, and the most cells that are visited.
+QUERIES, ENOUGH, MOST_CELLS = 1024, 100, 64
 BLOCK = 2048
 
 
@@ -102,34 +104,53 @@ class Grid:
         return d[0][:, cell // len(self.books[1])] + d[1][:, cell % len(self.books[1])]
 
 
-def cells_to_visit(vectors: DataFrame, grid: Grid, queries: np.ndarray, dims: int, least: float, target: float) -> int:
-    """The least number of cells that reaches the target recall on the sample queries."""
-    _, scores = grid.visit(queries, MOST_CELLS)
-    given = vectors.sparkSession.sparkContext.broadcast((grid, queries, scores))  # bounded by QUERIES and MOST_CELLS
+def neighbours_by_rank(vectors: DataFrame, grid: Grid, queries: np.ndarray, dims: int, least: float, most: int) -> np.ndarray:
+    """Of each query, how many neighbours are in its first, second ... cell, and at ``most`` in all later ones."""
+    _, scores = grid.visit(queries, most)
+    given = vectors.sparkSession.sparkContext.broadcast((grid, queries, scores))  # bounded by SAMPLE and MOST_CELLS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grid, queries, scores = given.value
         for batch in batches:
             x = matrix(batch.column(0), dims)
-            near = queries @ x.T
-            q, v = np.nonzero((near >= least) & (near < 1 - 1e-12))
             own = grid.visit(x, 1)[0][:, 0]
-            value = grid.score(queries, own)[q, v] if len(x) else np.empty(0)
-            rank = (scores[q] < value[:, None] - 1e-12).sum(axis=1)
-            keys, count = np.unique(q * (MOST_CELLS + 1) + rank, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys // (MOST_CELLS + 1)), pa.array(keys % (MOST_CELLS + 1)), pa.array(count)], names=["q", "rank", "n"])
+            out: list[tuple[int, int, int]] = []
+            for i in range(0, len(queries), QUERIES):
+                near = queries[i : i + QUERIES] @ x.T
+                hit = (near >= least) & (near < 1 - 1e-12)
+                for q in np.flatnonzero(hit.any(axis=1)):
+                    value = grid.score(queries[i + q : i + q + 1], own[hit[q]])[0]
+                    # past the visited cells, whatever the size of the grid
+                    rank = np.searchsorted(scores[i + q], value - 1e-12)
+                    rank = np.where(rank < scores.shape[1], rank, most)
+                    out += [(i + int(q), int(r), int(n)) for r, n in zip(*np.unique(rank, return_counts=True), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(3)], names=["q", "rank", "n"])
 
     found = vectors.select("embedding").mapInArrow(run, "q long, rank long, n long").groupBy("q", "rank").agg(F.sum("n").alias("n")).collect()
-    if not found:
-        return USUAL_CELLS
-    n = np.zeros((len(queries), MOST_CELLS + 1))
+    n = np.zeros((len(queries), most + 1))
     for r in found:
         n[r.q, r.rank] += r.n
-    n = n[n.sum(axis=1) > 0]
+    return n
+
+
+def cells_to_visit(vectors: DataFrame, grid: Grid, sample: np.ndarray, total: int, dims: int, least: float, target: float) -> int | None:
+    """The least number of cells that reaches the target recall on sample queries.
+
+    None if MOST_CELLS do not, or if too few of the sample, which is not all of the ``total`` vectors, have a neighbour.
+    """
+    n, asked = np.zeros((0, MOST_CELLS + 1)), 0
+    while asked < len(sample) and len(n) < ENOUGH:
+        queries = sample[asked : max(QUERIES, 4 * asked)]
+        found = neighbours_by_rank(vectors, grid, queries, dims, least, MOST_CELLS)
+        n, asked = np.concatenate([n, found[found.sum(axis=1) > 0]]), asked + len(queries)
+    if len(n) < ENOUGH and asked < total:
+        return None
+    if not len(n):
+        return 1
     over_pairs = n.sum(axis=0).cumsum() / n.sum()
     over_queries = (n.cumsum(axis=1) / n.sum(axis=1, keepdims=True)).mean(axis=0)
     reached = np.flatnonzero(np.minimum(over_pairs, over_queries)[:MOST_CELLS] >= target)
-    return int(reached[0]) + 1 if len(reached) else MOST_CELLS
+    return int(reached[0]) + 1 if len(reached) else None
 
 
 FOUND = "a long, b long, n long"
@@ -218,7 +239,9 @@ def near_duplicates(df: DataFrame, least: float = 0.9, target_recall: float = 0.
         sample = matrix(sample, dims)
         codes = max(1, min(256, 2 ** round(math.log2(max(1.0, math.sqrt(stats.n / 8))))))
         grid = Grid(sample, codes)
-        cells = cells_to_visit(classes, grid, sample[:QUERIES], dims, least, target_recall)
+        cells = cells_to_visit(classes, grid, sample, stats.n, dims, least, target_recall)
+        if cells is None:
+            grid, cells = Grid(sample, 1), 1  # one cell of all vectors, dealt into blocks
         links = checkpointed(search(classes, grid, min(cells, len(grid.books[0]) * len(grid.books[1])), dims, least, block))
     if links is not None:
         counts = links.filter("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("found"))

@@ -173,6 +173,22 @@ def test_neighbours_equal_brute_force(spark):
     assert neighbours.near_duplicates(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("few", ["queries", "cells"])
+def test_neighbours_are_all_found_when_cells_cannot_tell(spark, monkeypatch, few):
+    for name, value in {"queries": {"SAMPLE": 20, "QUERIES": 20}, "cells": {"MOST_CELLS": 1}}[few].items():
+        monkeypatch.setattr(neighbours, name, value)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(800, 16))
+    x = np.concatenate([x, x[:150] + 0.4 * rng.normal(size=(150, 16))])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_duplicates(frame, block=128).collect()}
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.9
+    component = union([(int(a), int(b)) for a, b in zip(*np.nonzero(near), strict=True) if a < b], range(len(x)))
+    assert near.sum() > len(x) + 100
+    assert out == {i: (int(near[i].sum()) - 1, component[i]) for i in range(len(x))}
+
+
 def test_pipeline_stages_follow_each_other(spark, tmp_path):
     import corpus_pipeline
 
