@@ -35,9 +35,9 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: without bytes in 100-byte strings that start earlier. A text that repeats as a whole becomes empty."""
-    kept = suffix.remove_repeats(docs, with_text=True).select(F.col("doc_id").alias("kept_id"), "kept")
-    joined = docs.drop("text").join(kept, F.col("doc_id") == F.col("kept_id")).withColumnRenamed("kept", "text")
-    return counted(joined).select(*docs.columns)
+    others = tuple(c for c in docs.columns if c != "text")
+    kept = suffix.remove_repeats(docs, with_text=True, carry=others)
+    return counted(kept.select("rest.*", F.col("kept").alias("text"))).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

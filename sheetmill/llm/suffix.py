@@ -332,11 +332,14 @@ KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 str
 
 
 def cut_out(docs: DataFrame, spans: DataFrame, length: int, with_text: bool) -> DataFrame:
-    """Each document without its spans."""
+    """Each document without its spans, with the column rest if there is one."""
+    carried = "rest" in docs.columns
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = []
         if len(left):
+            if carried:  # rows that are equal in both columns can change places
+                left = left.combine_chunks().sort_by([("doc_id", "ascending"), ("text", "ascending")])
             ids, texts, copies = group_texts(left)
             of_row = {}
             if len(right):
@@ -356,24 +359,30 @@ def cut_out(docs: DataFrame, spans: DataFrame, length: int, with_text: bool) ->
                 rows.append((doc, len(raw), removed, runs, hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if with_text else None))
         columns = list(zip(*rows, strict=True)) if rows else [()] * 6
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        out = pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        return out.append_column("rest", left.column("rest")) if carried else out
 
-    return docs.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(run, KEPT)
+    schema = f"{KEPT}, rest {docs.schema['rest'].dataType.simpleString()}" if carried else KEPT
+    return docs.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(run, schema)
 
 
-def remove_repeats(df: DataFrame, length: int = 100, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, length: int = 100, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document.
 
     kept, the remaining text without bytes that no longer make a character, is null unless asked for; the digest is that of
-    all remaining bytes.
+    all remaining bytes. With ``carry`` each row keeps those columns of its own in a struct, rest, and a null doc_id comes
+    first, as the least number.
     """
     if length < ANCHOR + 1:
         raise ValueError(f"length must be over {ANCHOR}")
     rows = doc_text(df, id_col, text_col)
+    if carry:
+        doc = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
+        rows = df.select(doc.alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.struct(*carry).alias("rest"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(2 * partitions(df), total // GROUP_BYTES)
     buckets = max(2 * partitions(df), total // (32 * BUCKET_ENTRIES))
-    docs = rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("part"), "doc_id", "text")
+    docs = rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("part"), "*")
     twice = repeated(anchor_blocks(docs, length, buckets))
     spans = removed_spans(context_blocks(docs, twice, length, buckets), length)
     return cut_out(docs, spans, length, with_text)

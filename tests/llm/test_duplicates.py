@@ -144,6 +144,28 @@ def test_repeated_bytes_equal_brute_force(spark):
     assert suffix.remove_repeats(frame.limit(0)).count() == 0
 
 
+def test_passages_stage_keeps_rows_with_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(7)
+    p, q, r = ("".join(rng.choice("abcdefgh é") for _ in range(150)) for _ in range(3))
+    docs = [(5, p, "a"), (5, p, "a"), (5, q, "b"), (None, r, "c"), (None, r + "x", "d"), (6, r + "." + q, "e"), (7, None, "f"), (8, "short", "g"), (8, "short", "h")]
+    seen, expected = set(), []
+    for i, t, lang in sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0, d[1] or "")):
+        raw = (t or "").encode()
+        gone = set()
+        for at in range(len(raw) - 99):
+            if raw[at : at + 100] in seen:
+                gone.update(range(at, at + 100))
+            seen.add(raw[at : at + 100])
+        kept = bytes(x for at, x in enumerate(raw) if at not in gone).decode(errors="ignore")
+        expected.append((i, kept, lang, len(kept)))
+    frame = spark.createDataFrame([(i, t, lang, len(t or "")) for i, t, lang in docs], "doc_id long, text string, lang string, n_chars long")
+    out = corpus_pipeline.fresh_passages(spark, frame, "")
+    assert out.columns == frame.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(expected, key=str)
+
+
 def test_maximal_repeats():
     strings = [b"xx" + b"0123456789" * 3 + b"ab", b"yy" + b"0123456789" * 3 + b"cd", b"zz0123456789zz"]
     found = {(size, tuple(sorted(zip(which.tolist(), place.tolist(), strict=True)))) for size, which, place in suffix.maximal_repeats(strings, 10)}
