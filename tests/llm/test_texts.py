@@ -110,9 +110,9 @@ def test_layouts_are_found_by_fingerprint(spark):
 def test_toxicity_on_held_out_rows(spark):
     docs = [(i, f"{'some plain words here and there ' * 4}{'you idiots are scum ' if i % 4 == 0 else 'you friends are kind '}{i}") for i in range(600)]
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(500)] + [(7, None), (None, 1)], "doc_id long, toxic int")
-    frame = spark.createDataFrame([*docs, (9000, None), (9001, "")], "doc_id long, text string")
+    frame = spark.createDataFrame([*docs, (9000, None), (9001, ""), (None, "you idiots")], "doc_id long, text string")
     out = {r.doc_id: r for r in toxicity.score(frame, labels).collect()}
-    assert len(out) == 602 and all(0 <= r.score <= 1 for r in out.values())
+    assert len(out) == 603 and all(0 <= r.score <= 1 for r in out.values())
     unseen = [i for i in range(600) if i >= 500 or zlib.crc32(str(i).encode()) % 5 == 0]
     assert sum(out[i].predicted == int(i % 4 == 0) for i in unseen) >= 0.95 * len(unseen)
     kept = {r.doc_id for r in toxicity.keep_ordinary(frame, labels).collect()}
@@ -121,6 +121,66 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.score(frame.limit(0), labels).count() == 0
 
 
+def plain_kneser_ney(rows, d=toxicity.DISCOUNT, m=toxicity.STRENGTH):
+    """log P_1 - log P_0 of a character after a start, by dictionaries."""
+    n = [defaultdict(int), defaultdict(int)]
+    for label, text in rows:
+        for w in toxicity.words(text):
+            padded = toxicity.START + w + toxicity.STOP
+            for i in range(len(w) + 1):
+                n[label][padded[i : i + toxicity.ORDER]] += 1
+    kinds = {}
+    kinds[toxicity.ORDER] = set(n[0]) | set(n[1])
+    for k in range(toxicity.ORDER - 1, 0, -1):
+        kinds[k] = {g[1:] for g in kinds[k + 1]}
+
+    def s(g):
+        k = len(g)
+        before = lambda x: sum(1 for e in kinds[k + 1] if e[1:] == x)
+        if k == 1:
+            return (before(g) + 1) / (len(kinds[2]) + len(kinds[1]) + 1)
+        after = [x for x in kinds[k] if x[:-1] == g[:-1]]
+        total = sum(map(before, after))
+        return (max(before(g) - d, 0) + d * len(after) * s(g[1:])) / total
+
+    def ratio(h, x):
+        pooled = {g: n[0].get(g, 0) + n[1].get(g, 0) for g in kinds[toxicity.ORDER] if g[:-1] == h}
+        t = sum(pooled.values())
+        shared = (max(pooled.get(h + x, 0) - d, 0) + d * len(pooled) * s((h + x)[1:])) / t
+        p = []
+        for c in (0, 1):
+            own = {g: k for g, k in n[c].items() if g[:-1] == h}
+            p.append((max(own.get(h + x, 0) - d, 0) + (m + d * len(own)) * shared) / (sum(own.values()) + m))
+        return math.log(p[1] / p[0])
+
+    return kinds[toxicity.ORDER], ratio
+
+
+def test_toxicity_equals_plain_kneser_ney(spark):
+    rows = [(0, "Plain words, here and there."), (0, "words  and wordy WORDS"), (1, "rude words, rude (rudely) é日本"), (1, "and rude"), (0, ""), (0, "...")]
+    kinds, ratio = plain_kneser_ney(rows)
+    counts = toxicity.count_expressions(spark.createDataFrame(rows, "label int, text string"))
+    seen, starts = toxicity.differences(counts)
+    found = {r.g: r.r for r in seen.collect()}
+    assert found.keys() == kinds
+    assert all(abs(found[g] - ratio(g[:-1], g[-1])) < 1e-9 for g in kinds)
+    # an unseen expression after a seen start: the shared backoff cancels out
+    models = toxicity.Models(*(toxicity.slotted(x, 1 << 40) for x in (seen, starts)))
+    for word in ("rude", "wordz", "rudex", "zzz", "é日"):
+        padded = toxicity.START + word + toxicity.STOP
+        known = {g[:-1] for g in kinds}
+        expected = 0.0
+        for i in range(len(word) + 1):
+            h, x = padded[i : i + toxicity.ORDER - 1], padded[i + toxicity.ORDER - 1]
+            if h + x in kinds:
+                expected += ratio(h, x)
+            elif h in known:
+                expected += next(r.r for r in starts.collect() if r.g == h)
+        assert abs(models.of_words([word])[0] - expected) < 1e-5
+    few = toxicity.Models(*(toxicity.slotted(x, 4) for x in (seen, starts)))
+    assert len(few.seen[0]) <= 4 and len(few.starts[0]) <= 4
+
+
 def test_quality_equals_sql(spark, tmp_path):
     rows = [*ODD, (20, "a b c d e f g h a b c d e f g h"), (21, "x " * 40), (22, "l1\nl2\nl1\n \n \nl1"), (23, "#|<> $%&*")]
     docs = spark.createDataFrame([(i, t, "p", 1) for i, t in rows if i != 8], SCHEMA)
