@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 import numpy as np
@@ -21,11 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` cut off from its lineage by a reliable checkpoint in ``spark.checkpoint.dir``.
 
-    A checkpoint folder is chosen here only where the session has none (local tests).
+    A folder is made here only where the session has none and runs in one process; on a cluster that is an error.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
@@ -42,9 +47,8 @@ def doc_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def chunks(ids: pa.Array, texts: pa.Array, limit: int = CHUNK_BYTES):
     """(ids, utf-8 bytes as uint8, offsets) of consecutive runs of rows with about ``limit`` bytes each.
 
-    One text longer than the limit is a run of its own, whole.
+    One text longer than the limit is a run of its own, whole. The ids stay an Arrow array, nulls included.
     """
-    ids = ids.to_numpy(zero_copy_only=False)
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
@@ -53,7 +57,7 @@ def chunks(ids: pa.Array, texts: pa.Array, limit: int = CHUNK_BYTES):
     while start < len(ids):
         end = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1
         end = min(max(end, start + 1), len(ids))
-        yield ids[start:end], data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start]
+        yield ids.slice(start, end - start), data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start]
         start = end
 
 

@@ -16,12 +16,18 @@ Sets that are equal (128-bit fingerprints) form one class; the join runs over cl
 by hash bucket, so a bucket is a bounded array. Where few classes meet, all pairs are candidates; where more meet, the
 pairs of those that have to probe there. Where very many meet, only pairs with one pivot (the class with the most
 documents) are verified first; classes of such a meeting that the links so far leave apart are then compared in blocks of
-bounded size. All candidates are verified on the words of both texts. So the pairs of a large group are never listed, no
-link between different components is lost, and no cap drops any.
+bounded size. So the pairs of a large group are never listed, no link between different components is lost, and no cap drops
+any.
+
+Each set has a sketch: a bit for each of 2 to 4 places an element, set where an odd number of elements fall. An element that
+is in one of two sets alone changes one bit, so sets whose sketches differ in more bits than similar sets can differ in
+elements are not similar. All candidates are first compared by their sketches, which loses none; what is left is verified on
+the words of both texts, so texts travel only for pairs and members of meetings that are near for certain or almost so.
 
 Defined cases: null, empty or blank text has the empty set, is linked with nothing and is its own component; texts with
 fewer words than a shingle have one shingle, all their words; ties cannot arise; repeated doc_ids count as one document of
-each different text and keep one row per row; an empty table gives no rows; other columns are ignored.
+each different text and keep one row per row; rows with null doc_id are counted, linked with nothing and have no component;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,15 +46,21 @@ from .common import LOWER, Polynomial, checkpointed, chunks, doc_text, mix, mixe
 from .components import components
 
 STEP = tuple(np.uint64(mixed(i) | 1) for i in range(1, 65))
-PRINT_A, PRINT_B, PLACE, ELEMENT, SALT = (np.uint64(mixed(1000 + i)) for i in range(5))
+PRINT_A, PRINT_B, PLACE, ELEMENT, SALT, PARITY = (np.uint64(mixed(1000 + i)) for i in range(6))
 #: Classes that may meet in one index entry before pairs with a pivot stand for all pairs.
 FEW = 6
 #: Classes that may meet for the pairs of a class that has to probe there to be listed.
 SOME = 64
 #: Classes of one block when the rest of such a meeting is compared.
 BLOCK = 256
-#: Index entries of a bucket, about, and bytes of text after which blocks are sent on.
-BUCKET_ENTRIES, FLUSH_BYTES = 250_000, 8 << 20
+#: Classes of one block when such a meeting's sketches are compared, and 64-bit words of differences made at a time.
+SKETCH_BLOCK, SKETCH_WORDS = 2048, 1 << 21
+#: The most places of a sketch; of larger sets more differences fall together, which rules out fewer pairs and loses none.
+MOST_PLACES = 1 << 16
+#: Index entries of a bucket, about, and entries after which blocks are sent on.
+BUCKET_ENTRIES, FLUSH_ENTRIES = 150_000, 400_000
+#: Hash buckets by which documents are left out before texts are shuffled.
+TEXT_BUCKETS = 1 << 18
 #: Cost of verifying one chance meeting, in index entries.
 MEETING_COST = 30.0
 #: The least slack as a share of the value needed; it lets sets leave out meetings that passages shared by many make large.
@@ -169,8 +181,28 @@ def prints(texts: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np
     return a.view(np.int64), b.view(np.int64)
 
 
+def sketches(texts: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Of each set the parity of its elements at each of 2**k places, 2 to 4 an element within 64 and MOST_PLACES."""
+    places = np.clip(1 << np.ceil(np.log2(np.maximum(2 * sizes, 2))).astype(np.int64), 64, MOST_PLACES)
+    base = np.concatenate([[0], np.cumsum(places)])
+    at = base[texts] + (mix(hashes ^ PARITY) & (places[texts] - 1).astype(np.uint64)).astype(np.int64)
+    bits = np.packbits(np.bincount(at, minlength=base[-1]).astype(np.uint8) & 1, bitorder="little").tobytes()
+    return [bits[a >> 3 : b >> 3] for a, b in zip(base[:-1].tolist(), base[1:].tolist(), strict=True)]
+
+
+def folded(parts: list[bytes], size: int) -> np.ndarray:
+    """Sketches as rows of 64-bit words, folded to ``size`` bytes: places that fall together add up, so do their parities."""
+    out = np.empty((len(parts), size // 8), dtype=np.uint64)
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+    for n in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == n)
+        words = np.frombuffer(b"".join([parts[i] for i in at.tolist()]), "<u8").reshape(len(at), -1, size // 8)
+        out[at] = np.bitwise_xor.reduce(words, axis=1)
+    return out
+
+
 def set_rows(rows: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, print_a, print_b) of rows (doc_id, text)."""
+    """(doc_id, n_shingles, print_a, print_b, sketch) of rows (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = ShingleSets(width)
@@ -178,9 +210,9 @@ def set_rows(rows: DataFrame, width: int) -> DataFrame:
             for ids, data, offsets in chunks(batch.column(0), batch.column(1)):
                 texts, hashes, sizes = sets.of(data, offsets)
                 a, b = prints(texts, hashes, sizes)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sizes.astype(np.int64)), pa.array(a), pa.array(b)], names=["doc_id", "n_shingles", "print_a", "print_b"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(sizes.astype(np.int64)), pa.array(a), pa.array(b), pa.array(sketches(texts, hashes, sizes), pa.binary())], names=["doc_id", "n_shingles", "print_a", "print_b", "sketch"])
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, print_a long, print_b long")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, print_a long, print_b long, sketch binary")
 
 
 def entries(texts: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, chosen: np.ndarray, band_of: np.ndarray, bands: list[Band], t: Threshold) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -224,7 +256,7 @@ def index_blocks(rows: DataFrame, width: int, t: Threshold, bands: list[Band], b
     edges = np.array([b.low for b in bands], dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, seen, held, weight = ShingleSets(width), set(), [], 0
+        sets, seen, held, weight = ShingleSets(width), set(), [], 0  # a key for each different set of the partition
 
         def flush() -> pa.RecordBatch:
             block = np.concatenate(held)
@@ -257,8 +289,8 @@ def index_blocks(rows: DataFrame, width: int, t: Threshold, bands: list[Band], b
                         out["spare"] = np.minimum(spare, 0xFFFF)[who]
                         out["role"] = kind * DELETION + own * INDEXED
                         held.append(out)
-                weight += len(data)
-                if weight >= FLUSH_BYTES and held:
+                        weight += len(out)
+                if weight >= FLUSH_ENTRIES:
                     yield flush()
                     weight = 0
         if held:
@@ -358,6 +390,65 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, t: Threshold) -> Da
     return joined.mapInArrow(run, "a long, b long")
 
 
+def near_by_sketch(pairs: DataFrame, named: DataFrame, t: Threshold) -> DataFrame:
+    """The pairs (a, b) of nodes whose sketches do not rule them out; ``named``: (node, n, sketch)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            n = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
+            parts = [batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b")]
+            least = np.array([min(len(x), len(y)) for x, y in zip(*parts, strict=True)], dtype=np.int64)
+            for size in np.unique(least).tolist():
+                at = np.flatnonzero(least == size)
+                x, y = (folded([p[i] for i in at.tolist()], size) for p in parts)
+                keep[at] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= t.gap(n[0][at], n[1][at])
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
+
+    for s in "ab":
+        pairs = pairs.join(named.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}")), s)
+    return pairs.mapInArrow(run, "a long, b long")
+
+
+def dealt(hot: DataFrame, block: int) -> DataFrame:
+    """Members of meetings in blocks (signature, i, j): those that ask in every block of members, and all as the asked."""
+    asks = F.col("probes")
+    counted = hot.groupBy("signature").agg(F.ceil(F.count_if(asks) / block).cast("long").alias("ask_blocks"), F.ceil(F.count("*") / block).cast("long").alias("blocks"))
+    rows = hot.withColumn("asks", asks).join(counted, "signature")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    asking = rows.filter("asks").withColumns({"i": own("ask_blocks"), "j": F.explode(F.sequence(zero, F.col("blocks") - one))})
+    held = rows.filter("ask_blocks > 0").withColumns({"asks": F.lit(False), "i": F.explode(F.sequence(zero, F.col("ask_blocks") - one)), "j": own("blocks")})
+    return asking.unionByName(held)
+
+
+def still_near(hot: DataFrame, t: Threshold) -> DataFrame:
+    """(signature, node): members that the sketches leave with a partner in another component.
+
+    ``hot``: (signature, node, component, probes, n, sketch).
+    """
+
+    def run(part: pa.Table) -> pa.Table:
+        asks = part.column("asks").to_numpy()
+        q, v = np.flatnonzero(asks), np.flatnonzero(~asks)
+        found = np.zeros(len(asks), dtype=bool)
+        if len(q) and len(v):
+            node, component, n = (part.column(c).to_numpy() for c in ("node", "component", "n"))
+            parts = part.column("sketch").to_pylist()
+            words = folded(parts, min(map(len, parts)))
+            step = max(1, SKETCH_WORDS // (len(v) * words.shape[1]))
+            for i in range(0, len(q), step):
+                a = q[i : i + step]
+                near = np.bitwise_count(words[a][:, None] ^ words[v]).sum(axis=2, dtype=np.int64) <= t.gap(n[a][:, None], n[v])
+                near &= component[a][:, None] != component[v]
+                found[a] |= near.any(axis=1)
+                found[v] |= near.any(axis=0)
+        some = pa.array(np.flatnonzero(found))
+        return part.select(["signature", "node"]).take(some)
+
+    return dealt(hot, SKETCH_BLOCK).groupBy("signature", "i", "j").applyInArrow(run, "signature long, node long").distinct()
+
+
 def overlaps(a: list[set], b: list[set], columns: int = 4096) -> np.ndarray:
     """Sizes of the intersections of every set of ``a`` with every set of ``b``, by products of 0-1 matrices of bounded width."""
     column: dict = {}
@@ -389,14 +480,7 @@ def rest_links(hot: DataFrame, texts: DataFrame, width: int, t: Threshold) -> Da
     ``hot``: (signature, node, component, probes). Members that probe are compared with all members, block by block, so a
     task is of bounded size. Only links that join components not yet joined in the task are returned.
     """
-    asks = F.col("probes")
-    counted = hot.groupBy("signature").agg(F.ceil(F.count_if(asks) / BLOCK).cast("long").alias("ask_blocks"), F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-    dealt = hot.withColumn("asks", asks).join(counted, "signature")
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
-    asking = dealt.filter("asks").withColumns({"i": own("ask_blocks"), "j": F.explode(F.sequence(zero, F.col("blocks") - one))})
-    held = dealt.withColumns({"asks": F.lit(False), "i": F.explode(F.sequence(zero, F.col("ask_blocks") - one)), "j": own("blocks")})
-    rows = asking.unionByName(held).join(texts.withColumnRenamed("doc_id", "node"), "node")
+    rows = dealt(hot, BLOCK).join(texts.withColumnRenamed("doc_id", "node"), "node")
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         root = {c: c for c in part["component"].tolist()}
@@ -425,14 +509,34 @@ def rest_links(hot: DataFrame, texts: DataFrame, width: int, t: Threshold) -> Da
     return rows.groupBy("signature", "i", "j").applyInPandas(run, "a long, b long")
 
 
+def once_each(hot: DataFrame) -> DataFrame:
+    """Without the meetings that have the same members, asking and asked, as another."""
+    own = hot.groupBy("signature").agg(F.count("*").alias("n"), *(F.sum(F.xxhash64("node", "probes", F.lit(i)).cast("decimal(38,0)")).alias(f"h{i}") for i in (1, 2)))
+    return hot.join(own.groupBy("n", "h1", "h2").agg(F.min("signature").alias("signature")).select("signature"), "signature", "left_semi")
+
+
+def texts_of(rows: DataFrame, ids: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The rows (doc_id, text) whose doc_id is in one of these columns.
+
+    Rows of other hash buckets stay where they are; the set of buckets is broadcast and has at most TEXT_BUCKETS rows.
+    """
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(TEXT_BUCKETS))
+    needed = ids.select(F.explode(F.array(*columns)).alias("doc_id")).distinct()
+    buckets = needed.select(bucket.alias("bucket")).distinct()
+    near = rows.join(F.broadcast(buckets), bucket == F.col("bucket"), "left_semi")
+    return checkpointed(near.join(needed, "doc_id"))
+
+
 def similar_components(df: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     t = Threshold(num, den)
     rows = doc_text(df, id_col, text_col)
     sets = checkpointed(set_rows(rows, width))
+    rows = rows.filter("doc_id IS NOT NULL")
     key = ["n_shingles", "print_a", "print_b"]
-    classes = sets.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
+    classes = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"))
     classes = checkpointed(classes)
+    sets = sets.drop("sketch")
     largest = classes.agg(F.max("n_shingles")).first()[0] or 0
     edges = band_edges(largest, t)
     cuts = F.array(*map(F.lit, edges))
@@ -445,6 +549,7 @@ def similar_components(df: DataFrame, width: int = 5, num: int = 80, den: int =
         return sets.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     met = checkpointed(meetings(index_blocks(rows, width, t, bands, buckets), t))
     named = classes.select(F.col("print_a").alias("p"), "node", "copies", F.col("n_shingles").alias("n"))
+    sketched = classes.select("node", F.col("n_shingles").alias("n"), "sketch")
     few = met.filter("classes = 0").select("a", "b").distinct()
     few = few.join(named.select(F.col("p").alias("a"), F.col("node").alias("x")), "a").join(named.select(F.col("p").alias("b"), F.col("node").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     hot = allocated(met.filter("classes > 0"))
@@ -456,24 +561,25 @@ def similar_components(df: DataFrame, width: int = 5, num: int = 80, den: int =
     pivots = hot.groupBy("signature").agg(F.max(F.struct("copies", F.negative("node").alias("node"))).alias("pivot"))
     star = hot.join(pivots, "signature").select(F.col("node").alias("a"), F.negative("pivot.node").alias("b"))
     pairs = few.unionAll(met_some).unionAll(star).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = checkpointed(pairs)
-    needed = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    # one text of each class member that stands for it: the one whose set is the class's
-    texts = checkpointed(rows.join(needed, "doc_id"))
-    links = checkpointed(verified(pairs, texts, width, t))
+    pairs = checkpointed(near_by_sketch(pairs, sketched, t))
+    links = checkpointed(verified(pairs, texts_of(rows, pairs, ("a", "b")), width, t))
     joined = components(links)
     if not hot.isEmpty():
         apart = hot.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
         parts = apart.groupBy("signature", "component").agg(F.count("*").alias("n"))
         several = parts.groupBy("signature").agg(F.count("*").alias("parts")).filter("parts > 1")
-        apart = checkpointed(apart.join(several, "signature").select("signature", "node", "component", "probes"))
-        links = links.unionAll(rest_links(apart, texts, width, t))
+        apart = apart.join(several, "signature").select("signature", "node", "component", "probes")
+        apart = checkpointed(apart)
+        left = still_near(apart.join(sketched, "node"), t)
+        apart = checkpointed(once_each(apart.join(left, ["signature", "node"])))
+        links = links.unionAll(rest_links(apart, texts_of(rows, apart, ("node",)), width, t))
         joined = components(links)
     of_class = classes.join(joined, "node", "left").select(*key, F.coalesce("component", "node").alias("component"))
     same = F.lit(True)
     for k in key:
         same = same & (sets[k] == of_class[k])
-    return sets.join(of_class, same, "left").select("doc_id", sets["n_shingles"], F.coalesce("component", "doc_id").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return sets.join(of_class, same, "left").select("doc_id", sets["n_shingles"], component.alias("component_id"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,8 @@ A window that is not the first of its content lies in a maximal repeat whose occ
 one; and every removed byte lies in such a window. Strings are judged on the input, so the result does not depend on order.
 
 Defined cases: null text is empty; texts shorter than ``length`` lose nothing; of rows with equal doc_id the one with the
-smaller text comes first; an empty table gives no rows; other columns are ignored.
+smaller text comes first; null doc_ids come before all others and stay null; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Polynomial, chunks, doc_text, mix, partitions, table
+from .common import Polynomial, chunks, mix, partitions, table
 
 #: Bytes of an anchor.
 ANCHOR = 36
@@ -107,6 +108,7 @@ def anchor_rows(part: pa.Table, length: int) -> Iterator[tuple[int, np.ndarray,
     rows = np.array([i for i in range(len(ids)) if i not in copies], dtype=np.int64)
     anchors = Anchors(length)
     for which, data, offsets in chunks(pa.array(rows), texts.take(pa.array(rows))):
+        which = which.to_numpy()
         text, hashes, place, first, last = anchors.of(data, offsets)
         yield ids, which, data, offsets, text, hashes, place, first, last
 
@@ -266,6 +268,8 @@ def maximal_repeats(strings: list[bytes], length: int) -> Iterator[tuple[int, np
                 stack.append((value, left))
 
 
+#: What a null doc_id counts as, the least number.
+NO_ID = -(1 << 63)
 SPANS = "part long, spans binary"
 SPAN = np.dtype([("row", "<u4"), ("start", "<u4"), ("size", "<u4")])
 
@@ -283,6 +287,9 @@ def removed_spans(contexts: DataFrame, length: int) -> DataFrame:
         head, content, starts = head[order], content[order], offsets[:-1][order]
         equal = np.zeros(len(head), dtype=bool)
         equal[1:] = (head["hash"][1:] == head["hash"][:-1]) & (content[1:] == content[:-1]) & (head["size"][1:] == head["size"][:-1])
+        for i in np.flatnonzero(equal).tolist():  # digests only sort: what goes is equal byte for byte
+            a, b, n = int(starts[i - 1]), int(starts[i]), int(head["size"][i])
+            equal[i] = raw[a : a + n] == raw[b : b + n]
         gone = [head[equal]]
         head, starts = head[~equal], starts[~equal]
         near = head["hash"][1:] == head["hash"][:-1]
@@ -370,22 +377,20 @@ def remove_repeats(df: DataFrame, length: int = 100, with_text: bool = False, id
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document.
 
     kept, the remaining text without bytes that no longer make a character, is null unless asked for; the digest is that of
-    all remaining bytes. With ``carry`` each row keeps those columns of its own in a struct, rest, and a null doc_id comes
-    first, as the least number.
+    all remaining bytes. With ``carry`` each row keeps those columns of its own in a struct, rest.
     """
     if length < ANCHOR + 1:
         raise ValueError(f"length must be over {ANCHOR}")
-    rows = doc_text(df, id_col, text_col)
-    if carry:
-        doc = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-        rows = df.select(doc.alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.struct(*carry).alias("rest"))
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    rest = [F.struct(*carry).alias("rest")] if carry else []
+    rows = df.select(doc.alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *rest)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(2 * partitions(df), total // GROUP_BYTES)
     buckets = max(2 * partitions(df), total // (32 * BUCKET_ENTRIES))
     docs = rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("part"), "*")
     twice = repeated(anchor_blocks(docs, length, buckets))
     spans = removed_spans(context_blocks(docs, twice, length, buckets), length)
-    return cut_out(docs, spans, length, with_text)
+    return cut_out(docs, spans, length, with_text).withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

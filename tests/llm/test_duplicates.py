@@ -78,6 +78,36 @@ def test_jaccard_join_equals_brute_force(spark):
     assert jaccard.similar_components(frame.limit(0)).count() == 0
 
 
+def test_large_meetings_equal_brute_force(spark, monkeypatch):
+    for name, value in {"SOME": 6, "BLOCK": 16, "SKETCH_BLOCK": 32}.items():
+        monkeypatch.setattr(jaccard, name, value)
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(300)]
+    passage, other = ([rng.choice(vocabulary) for _ in range(n)] for n in (40, 70))
+    docs = [(k, " ".join(changed(rng, passage, k % 6, vocabulary))) for k in range(90)]
+    docs += [(1000 + k, " ".join([*passage, *(rng.choice(vocabulary) for _ in range(rng.choice([3, 12, 60])))])) for k in range(90)]
+    docs += [(2000 + k, " ".join(changed(rng, [*passage, *other], k % 9, vocabulary))) for k in range(60)]
+    docs += [(None, docs[0][1]), (None, ""), (5, docs[5][1])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    out = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar_components(frame).collect()}
+    expected = {(i, *x) for i, x in jaccard_expected([d for d in docs if d[0] is not None]).items()}
+    assert out == expected | {(None, len(jaccard.shingles(docs[0][1], 5)), None), (None, 0, None)}
+    assert len({c for *_, c in out}) > 20
+
+
+def test_sketches_rule_out_no_similar_sets():
+    rng = np.random.default_rng(3)
+    for n in (1, 7, 60, 900):
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        for gone, new in ((0, 0), (n // 9, n // 9), (n // 2, n)):
+            b = np.concatenate([a[gone:], rng.integers(0, 1 << 63, new).astype(np.uint64)])
+            texts, sizes = np.repeat([0, 1], [len(a), len(b)]), np.array([len(a), len(b)])
+            parts = jaccard.sketches(texts, np.concatenate([a, b]), sizes)
+            x, y = jaccard.folded(parts, min(map(len, parts)))
+            differ = int(np.bitwise_count(x ^ y).sum())
+            assert differ <= gone + new and (gone + new < 20 or differ > 0.35 * (gone + new))
+
+
 @pytest.mark.parametrize("threshold", [0, 1, 2])
 def test_line_dedup_equals_brute_force(spark, threshold):
     rng = random.Random(3)
@@ -139,6 +169,8 @@ def test_repeated_bytes_equal_brute_force(spark):
         runs = sum(1 for at in range(len(raw)) if gone[at] and (at == 0 or not gone[at - 1]))
         expected[i] = (len(raw), sum(gone), runs, hashlib.sha256(kept).hexdigest())
     frame = spark.createDataFrame([(i, t, 0) for i, t in docs], "doc_id long, text string, part long")
+    nulls = suffix.remove_repeats(spark.createDataFrame([(None, passages[2]), (1, "a" + passages[2]), (None, None)], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in nulls) == [(0, 0, 0), (0, 101, 0), (1, 102, 101)] or len(passages[2].encode()) != 101
     out = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.remove_repeats(frame).collect()}
     assert out == expected
     assert suffix.remove_repeats(frame.limit(0)).count() == 0
