@@ -15,14 +15,15 @@ of passages that many documents share. Sets of sizes at which only equal sets ar
 Sets that are equal (128-bit fingerprints) form one class; the join runs over classes. Index entries travel in binary blocks
 by hash bucket, so a bucket is a bounded array. Where few classes meet, all pairs are candidates; where more meet, the
 pairs of those that have to probe there. Where very many meet, only pairs with one pivot (the class with the most
-documents) are verified first; classes of such a meeting that the links so far leave apart are then compared in blocks of
-bounded size. So the pairs of a large group are never listed, no link between different components is lost, and no cap drops
+documents) are verified first; of classes that the links so far leave apart each then tries the nearest one apart from it,
+in a few rounds, and what is apart after that is compared in blocks of bounded size. So the pairs of a large group are never listed, no link between different components is lost, and no cap drops
 any.
 
 Each set has a sketch: a bit for each of 2 to 4 places an element, set where an odd number of elements fall. An element that
 is in one of two sets alone changes one bit, so sets whose sketches differ in more bits than similar sets can differ in
-elements are not similar. All candidates are first compared by their sketches, which loses none; what is left is verified on
-the words of both texts, so texts travel only for pairs and members of meetings that are near for certain or almost so.
+elements are not similar. All candidates are first compared by their sketches, which loses none (members of large meetings
+again by sketches of 32 to 64 places an element); what is left is verified on the words of both texts, so texts travel only
+for pairs and members of meetings that are near for certain or almost so.
 
 Defined cases: null, empty or blank text has the empty set, is linked with nothing and is its own component; texts with
 fewer words than a shingle have one shingle, all their words; ties cannot arise; repeated doc_ids count as one document of
@@ -59,6 +60,10 @@ SKETCH_BLOCK, SKETCH_WORDS = 2048, 1 << 21
 MOST_PLACES = 1 << 16
 #: Index entries of a bucket, about, and entries after which blocks are sent on.
 BUCKET_ENTRIES, FLUSH_ENTRIES = 150_000, 400_000
+#: Rounds in which each member of a large meeting tries the nearest partner in another component before all are compared.
+ROUNDS = 3
+#: Places an element, and the most of a set, in the sketches of members that the first ones do not tell apart.
+FINE, FINE_PLACES = 32, 1 << 18
 #: Hash buckets by which documents are left out before texts are shuffled.
 TEXT_BUCKETS = 1 << 18
 #: Cost of verifying one chance meeting, in index entries.
@@ -181,9 +186,9 @@ def prints(texts: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np
     return a.view(np.int64), b.view(np.int64)
 
 
-def sketches(texts: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-    """Of each set the parity of its elements at each of 2**k places, 2 to 4 an element within 64 and MOST_PLACES."""
-    places = np.clip(1 << np.ceil(np.log2(np.maximum(2 * sizes, 2))).astype(np.int64), 64, MOST_PLACES)
+def sketches(texts: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, each: int = 2, most: int = MOST_PLACES) -> list[bytes]:
+    """Of each set the parity of its elements at each of 2**k places, ``each`` or more an element within 64 and ``most``."""
+    places = np.clip(1 << np.ceil(np.log2(np.maximum(each * sizes, 2))).astype(np.int64), 64, most)
     base = np.concatenate([[0], np.cumsum(places)])
     at = base[texts] + (mix(hashes ^ PARITY) & (places[texts] - 1).astype(np.uint64)).astype(np.int64)
     bits = np.packbits(np.bincount(at, minlength=base[-1]).astype(np.uint8) & 1, bitorder="little").tobytes()
@@ -410,6 +415,22 @@ def near_by_sketch(pairs: DataFrame, named: DataFrame, t: Threshold) -> DataFram
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def fine_sketches(texts: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(node, n, sketch): sketches with more places of the classes whose nodes' rows (doc_id, text) are given."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = ShingleSets(width)
+        for batch in batches:
+            for ids, data, offsets in chunks(batch.column(0), batch.column(1)):
+                texts, hashes, sizes = sets.of(data, offsets)
+                columns = [ids, pa.array(sizes.astype(np.int64)), *map(pa.array, prints(texts, hashes, sizes)), pa.array(sketches(texts, hashes, sizes, FINE, FINE_PLACES), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "n_shingles", "print_a", "print_b", "fine"])
+
+    found = texts.select("doc_id", "text").mapInArrow(run, "node long, n_shingles long, print_a long, print_b long, fine binary")
+    key = ["node", "n_shingles", "print_a", "print_b"]
+    return found.join(classes.select(*key), key).dropDuplicates(key).select("node", F.col("n_shingles").alias("n"), F.col("fine").alias("sketch"))
+
+
 def dealt(hot: DataFrame, block: int) -> DataFrame:
     """Members of meetings in blocks (signature, i, j): those that ask in every block of members, and all as the asked."""
     asks = F.col("probes")
@@ -423,15 +444,15 @@ def dealt(hot: DataFrame, block: int) -> DataFrame:
 
 
 def still_near(hot: DataFrame, t: Threshold) -> DataFrame:
-    """(signature, node): members that the sketches leave with a partner in another component.
+    """(signature, node, partner): members that the sketches leave with a partner in another component.
 
-    ``hot``: (signature, node, component, probes, n, sketch).
+    ``hot``: (signature, node, component, probes, n, sketch). Members that ask name the nearest such partner, others none.
     """
 
     def run(part: pa.Table) -> pa.Table:
         asks = part.column("asks").to_numpy()
         q, v = np.flatnonzero(asks), np.flatnonzero(~asks)
-        found = np.zeros(len(asks), dtype=bool)
+        found, partner = np.zeros(len(asks), dtype=bool), np.full(len(asks), -1)
         if len(q) and len(v):
             node, component, n = (part.column(c).to_numpy() for c in ("node", "component", "n"))
             parts = part.column("sketch").to_pylist()
@@ -439,14 +460,17 @@ def still_near(hot: DataFrame, t: Threshold) -> DataFrame:
             step = max(1, SKETCH_WORDS // (len(v) * words.shape[1]))
             for i in range(0, len(q), step):
                 a = q[i : i + step]
-                near = np.bitwise_count(words[a][:, None] ^ words[v]).sum(axis=2, dtype=np.int64) <= t.gap(n[a][:, None], n[v])
-                near &= component[a][:, None] != component[v]
-                found[a] |= near.any(axis=1)
+                differ = np.bitwise_count(words[a][:, None] ^ words[v]).sum(axis=2, dtype=np.int64)
+                near = (differ <= t.gap(n[a][:, None], n[v])) & (component[a][:, None] != component[v])
+                some = near.any(axis=1)
+                found[a] |= some
                 found[v] |= near.any(axis=0)
-        some = pa.array(np.flatnonzero(found))
-        return part.select(["signature", "node"]).take(some)
+                partner[a[some]] = v[np.where(near, differ, np.iinfo(np.int64).max).argmin(axis=1)[some]]
+        some = np.flatnonzero(found)
+        node = part.column("node").combine_chunks()
+        return pa.table({"signature": part.column("signature").take(pa.array(some)), "node": node.take(pa.array(some)), "partner": node.take(pa.array(partner[some], mask=partner[some] < 0))})
 
-    return dealt(hot, SKETCH_BLOCK).groupBy("signature", "i", "j").applyInArrow(run, "signature long, node long").distinct()
+    return dealt(hot, SKETCH_BLOCK).groupBy("signature", "i", "j").applyInArrow(run, "signature long, node long, partner long")
 
 
 def overlaps(a: list[set], b: list[set], columns: int = 4096) -> np.ndarray:
@@ -564,16 +588,32 @@ def similar_components(df: DataFrame, width: int = 5, num: int = 80, den: int =
     pairs = checkpointed(near_by_sketch(pairs, sketched, t))
     links = checkpointed(verified(pairs, texts_of(rows, pairs, ("a", "b")), width, t))
     joined = components(links)
-    if not hot.isEmpty():
-        apart = hot.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sketch, apart = sketched, hot
+    for i in range(ROUNDS + 2) if not hot.isEmpty() else ():
+        apart = apart.select("signature", "node", "probes").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
         parts = apart.groupBy("signature", "component").agg(F.count("*").alias("n"))
         several = parts.groupBy("signature").agg(F.count("*").alias("parts")).filter("parts > 1")
-        apart = apart.join(several, "signature").select("signature", "node", "component", "probes")
-        apart = checkpointed(apart)
-        left = still_near(apart.join(sketched, "node"), t)
-        apart = checkpointed(once_each(apart.join(left, ["signature", "node"])))
-        links = links.unionAll(rest_links(apart, texts_of(rows, apart, ("node",)), width, t))
+        apart = checkpointed(apart.join(several, "signature").select("signature", "node", "component", "probes"))
+        left = checkpointed(still_near(apart.join(sketch, "node"), t))
+        if left.isEmpty():
+            break
+        apart = apart.join(left.select("signature", "node").distinct(), ["signature", "node"])
+        if i == 0:
+            sketch = checkpointed(fine_sketches(texts_of(rows, left, ("node",)), classes, width))
+            continue
+        some = left.filter("partner IS NOT NULL").select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct()
+        some = checkpointed(some.join(pairs, ["a", "b"], "left_anti"))
+        last = i > ROUNDS or some.isEmpty()
+        if last:
+            apart = checkpointed(once_each(apart))
+            more = rest_links(apart, texts_of(rows, apart, ("node",)), width, t)
+        else:
+            pairs = pairs.unionAll(some)
+            more = verified(some, texts_of(rows, some, ("a", "b")), width, t)
+        links = links.unionAll(checkpointed(more))
         joined = components(links)
+        if last:
+            break
     of_class = classes.join(joined, "node", "left").select(*key, F.coalesce("component", "node").alias("component"))
     same = F.lit(True)
     for k in key:
