@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, table
+from .common import checkpointed, once, table
 
 THRESHOLD, MIN_CHARS = 1, 20
 #: Hash buckets by which lines that are in no candidate pair are left out before their text is shuffled again; the set of
@@ -114,11 +114,6 @@ def band_distance(x: Column, y: Column, threshold: int) -> Column:
 STEPS = tuple(1 << i for i in range(30, -1, -1))
 
 
-def once(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, however often and in whatever loops ``use`` refers to it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def within(a: Column, b: Column, threshold: int) -> Column:
     """Whether two lines are within the threshold, by the band distance of what is between their common ends.
 

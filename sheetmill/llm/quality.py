@@ -2,9 +2,10 @@
 
 Each rule is a condition that rejects a text and the counts it needs. On a bounded sample the operator measures each rule's
 cost (wall time of its counts over the sample, less that of reading it) and selectivity (share rejected), and orders the
-rules by rejection per cost. The cascade is one CASE expression in that order, which Spark evaluates lazily: a text rejected
-by an early rule never pays for a later one. The order decides only the cost and which reason is named, never the verdict,
-which is the same for every order.
+rules by rejection per cost. The cascade is one expression in that order, each rule's counts made inside its branch, which
+Spark evaluates lazily: in ``screen`` a text rejected by an early rule never pays for a later one. ``cascade`` also returns
+all counts and so pays for them. The order decides only the cost and which reason is named, never the verdict, which is the
+same for every order.
 
 Words are the runs of characters other than space and 9 to 13. A repeated word is one in any window of eight words that
 the text holds twice or more, the first included. Windows are compared by 64-bit hashes of their words.
@@ -16,12 +17,13 @@ rows are independent, so ties, repeated rows and empty tables need no rule; othe
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_text, table
+from .common import doc_text, once, table
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -30,80 +32,84 @@ WINDOW = 8
 SAMPLE_ROWS = 2000
 
 
-def count_words(words: Column) -> Column:
-    return F.size(words).cast("long")
+def words(text: Column) -> Column:
+    return F.array_remove(F.split(F.translate(text, SPACES[1:], " " * (len(SPACES) - 1)), " ", -1), "")
 
 
-def with_words(rows: DataFrame) -> DataFrame:
-    """Adds words array<string>."""
-    spaced = F.translate("text", SPACES[1:], " " * (len(SPACES) - 1))
-    return rows.withColumn("words", F.array_remove(F.split(spaced, " ", -1), ""))
+def repeated_lines(text: Column) -> Column:
+    """Lines with a word that equal an earlier line."""
+    lines = F.filter(F.split(text, "\n", -1), lambda x: F.translate(x, SPACES, "") != "")
+    return once(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
 
-def with_lines(rows: DataFrame) -> DataFrame:
-    """Adds n_dup_lines: lines with a word that equal an earlier line."""
-    lines = F.filter(F.split("text", "\n", -1), lambda x: F.translate(x, SPACES, "") != "")
-    return rows.withColumn("lines", lines).withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")).drop("lines")
-
-
-def with_repeats(rows: DataFrame) -> DataFrame:
-    """Adds n_repeat_words from words.
+def repeated_words(text: Column) -> Column:
+    """Words in windows that occur twice.
 
     Window hashes are built from word hashes by three doublings (1, 2, 4, 8 words), and only texts in which a hash occurs
     twice are sorted.
     """
-    n = F.size("words")
-    rows = rows.withColumn("h", F.transform("words", lambda w: F.xxhash64(w)))
+
+    def doubled(h: Column, span: int) -> Column:
+        left = lambda x: F.greatest(F.size(x) - span, F.lit(0))
+        return once(h, lambda x: F.zip_with(F.slice(x, F.lit(1), left(x)), F.slice(x, F.lit(1 + span), left(x)), lambda a, b: F.xxhash64(a, b)))
+
+    def covered(h: Column) -> Column:
+        same = lambda at, e, i, step: F.coalesce(F.get(at, i + step).getField("x") == e.getField("x"), F.lit(False))
+        sorted_ = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+        twice = once(sorted_, lambda at: F.transform(F.filter(at, lambda e, i: same(at, e, i, -1) | same(at, e, i, 1)), lambda e: e.getField("i")))
+        start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
+        step = lambda s, i: F.struct((s["n"] + i + WINDOW - F.greatest(i, s["end"])).alias("n"), (i + WINDOW).alias("end"))
+        return F.aggregate(F.sort_array(twice), start, step, lambda s: s["n"])
+
+    h = F.transform(words(text), lambda w: F.xxhash64(w))
     for span in (1, 2, 4):
-        longer = F.zip_with("h", F.slice("h", F.lit(1 + span), F.greatest(F.size("h") - span, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-        rows = rows.withColumn("h", F.slice(longer, F.lit(1), F.greatest(F.size("h") - span, F.lit(0))))
-    some = F.size(F.array_distinct("h")) < F.size("h")
-    rows = rows.withColumn("at", F.when(some, F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))))
-    same = lambda e, i, step: F.coalesce(F.get("at", i + step).getField("x") == e.getField("x"), F.lit(False))
-    twice = F.transform(F.filter("at", lambda e, i: same(e, i, -1) | same(e, i, 1)), lambda e: e.getField("i"))
-    rows = rows.withColumn("starts", F.when(some, F.sort_array(twice)))
-    covered = F.aggregate(
-        "starts",
-        F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
-        lambda s, i: F.struct((s["n"] + i + WINDOW - F.greatest(i, s["end"])).alias("n"), (i + WINDOW).alias("end")),
-        lambda s: s["n"],
-    )
-    return rows.withColumn("n_repeat_words", F.when(some & (n >= WINDOW), covered).otherwise(0).cast("long")).drop("h", "at", "starts")
+        h = doubled(h, span)
+    return once(h, lambda x: F.when(F.size(F.array_distinct(x)) < F.size(x), covered(x)).otherwise(0))
+
+
+#: What rules can look at, each made from the text alone.
+MEASURES: dict[str, Callable[[Column], Column]] = {
+    "n_words": lambda text: F.size(words(text)),
+    "word_chars": lambda text: F.length(F.translate(text, SPACES, "")),
+    "n_symbols": lambda text: F.length(text) - F.length(F.translate(text, SYMBOLS, "")),
+    "n_dup_lines": repeated_lines,
+    "n_repeat_words": repeated_words,
+}
 
 
 def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of every whole text."""
-    rows = with_words(doc_text(df, id_col, text_col))
-    rows = rows.withColumns(
-        {
-            "n_words": count_words(F.col("words")),
-            "word_chars": F.length(F.translate("text", SPACES, "")).cast("long"),
-            "n_symbols": (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long"),
-        }
-    )
-    return with_repeats(with_lines(rows)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return doc_text(df, id_col, text_col).select("doc_id", *(make(F.col("text")).cast("long").alias(n) for n, make in MEASURES.items()))
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A rejecting SQL condition over the measures that it names."""
+    """A condition that rejects a text, over the measures that it names."""
 
     name: str
     needs: tuple[str, ...]
-    rejects: str
+    condition: Callable[..., Column]
+
+    def rejects(self, measure: Callable[[str], Column]) -> Column:
+        return self.condition(*map(measure, self.needs))
+
+
+def of_text(text: Column) -> Callable[[str], Column]:
+    """Measures made anew from the text, where and if they are needed."""
+    return lambda name: MEASURES[name](text).cast("long")
 
 
 BASE = (
-    Rule("few words", ("n_words",), "n_words < 20"),
-    Rule("repeated windows", ("n_repeat_words", "n_words"), "100 * n_repeat_words > 30 * n_words"),
+    Rule("few words", ("n_words",), lambda n: n < 20),
+    Rule("repeated windows", ("n_repeat_words", "n_words"), lambda r, n: 100 * r > 30 * n),
 )
 #: Bounds far from ordinary prose: words of 2 to 20 characters on average, a symbol for at most every third word, and half
 #: of the lines may repeat.
 RULES = (
     *BASE,
-    Rule("word length", ("n_words", "word_chars"), "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
-    Rule("symbols", ("n_words", "n_symbols"), "3 * n_symbols > n_words"),
-    Rule("repeated lines", ("n_dup_lines", "n_words"), "10 * n_dup_lines > n_words"),
+    Rule("word length", ("n_words", "word_chars"), lambda n, c: (c < 2 * n) | (c > 20 * n)),
+    Rule("symbols", ("n_words", "n_symbols"), lambda n, s: 3 * s > n),
+    Rule("repeated lines", ("n_dup_lines", "n_words"), lambda d, n: 10 * d > n),
 )
 
 
@@ -112,17 +118,16 @@ def estimates(df: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int =
     total = df.count()
     if not total:
         return [(r, 0.0, 0.0) for r in rules]
-    drawn = df.select(id_col, text_col).sample(min(1.0, sample_rows / total), seed=10).cache()
+    drawn = doc_text(df, id_col, text_col).sample(min(1.0, sample_rows / total), seed=10).cache()
     drawn.count()
     took, share = {}, {}
-    whole = measures(drawn, id_col, text_col)
     for _ in range(2):  # the second time without compiling
         start = time.perf_counter()
-        drawn.agg(F.sum(F.length(text_col))).collect()
+        drawn.agg(F.sum(F.length("text"))).collect()
         read = time.perf_counter() - start
         for r in rules:
             start = time.perf_counter()
-            share[r.name] = whole.agg(F.avg(F.expr(r.rejects).cast("int"))).first()[0] or 0.0
+            share[r.name] = drawn.agg(F.avg(r.rejects(of_text(F.col("text"))).cast("int"))).first()[0] or 0.0
             took[r.name] = max(time.perf_counter() - start - read, 1e-3)
     drawn.unpersist()
     return [(r, took[r.name], share[r.name]) for r in rules]
@@ -133,24 +138,30 @@ def ordered(measured: list[tuple[Rule, float, float]]) -> list[Rule]:
     return [r for r, cost, share in sorted(measured, key=lambda x: (-x[2] / x[1] if x[1] else 0.0, x[1], x[0].name))]
 
 
-def verdict(rules: list[Rule]) -> Column:
-    """The name of the first rule that rejects, null for a text that is kept."""
-    out = F.when(F.expr(rules[0].rejects), rules[0].name)
-    for r in rules[1:]:
-        out = out.when(F.expr(r.rejects), r.name)
-    return out
+def verdict(rules: list[Rule], measure: Callable[[str], Column]) -> Column:
+    """The name of the first rule that rejects, null for a text that is kept. Rules after it are not evaluated."""
+    return F.coalesce(*(F.when(r.rejects(measure), r.name) for r in rules), F.lit(None).cast("string"))
+
+
+def screen(df: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, with all their columns, that no rule rejects: each text pays for rules up to the first that does."""
+    order = ordered(estimates(df, rules, sample_rows, id_col, text_col))
+    return df.filter(verdict(order, of_text(F.coalesce(F.col(text_col), F.lit("")))).isNull())
 
 
 def cascade(df: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The measures of every text with reason (null if kept) and kept, the rules in the order of the estimates."""
+    """All measures of every text with reason (null if kept) and kept, the rules in the order of the estimates.
+
+    As the measures are asked for, they are paid for; ``screen`` gives the verdict alone.
+    """
     order = ordered(estimates(df, rules, sample_rows, id_col, text_col))
-    return measures(df, id_col, text_col).withColumn("reason", verdict(order)).withColumn("kept", F.col("reason").isNull())
+    return measures(df, id_col, text_col).withColumn("reason", verdict(order, F.col)).withColumn("kept", F.col("reason").isNull())
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op10_quality_rules: every document's counts and verdict."""
-    failed = F.expr(" OR ".join(f"({r.rejects})" for r in BASE))
-    judged = cascade(table(spark, sf_dir, "documents")).withColumn("base_failed", failed)
+    few, repeats = (r.rejects(F.col) for r in BASE)
+    judged = cascade(table(spark, sf_dir, "documents")).withColumn("base_failed", few | repeats)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

@@ -11,6 +11,7 @@ import duckdb
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sheetmill.llm import bpe, chat, packing, quality, toxicity
@@ -192,3 +193,17 @@ def test_quality_equals_sql(spark, tmp_path):
     rules = quality.ordered([(r, c, s) for r, c, s in zip(quality.RULES, (1, 2, 1, 1, 1), (0.1, 0.4, 0.0, 0.3, 0.1), strict=True)])
     assert [r.name for r in rules][:2] == ["symbols", "repeated windows"]
     assert quality.cascade(docs.limit(0)).count() == 0
+    kept = {r.doc_id for r in quality.screen(docs.withColumn("reason", F.lit(1))).collect()}
+    assert kept == {r.doc_id for r in out.collect() if r.kept}
+
+
+def test_quality_rules_after_a_rejection_cost_nothing(spark):
+    docs = spark.createDataFrame([(i, f"word {i} " * 9, "x") for i in range(50)] + [(None, None, None)], "doc_id long, text string, n_words string")
+    every = quality.Rule("every", ("n_words",), lambda n: n >= 0)
+    dear = quality.Rule("dear", ("n_repeat_words",), lambda r: F.when(r >= 0, F.raise_error(F.lit("paid"))).cast("boolean"))
+    measure = quality.of_text(F.coalesce("text", F.lit("")))
+    reasons = docs.select(quality.verdict([every, dear], measure).alias("reason"))
+    assert {r.reason for r in reasons.collect()} == {"every"}
+    assert docs.filter(quality.verdict([every, dear], measure).isNull()).count() == 0
+    with pytest.raises(Exception, match="paid"):
+        docs.select(quality.verdict([dear, every], measure)).collect()
