@@ -431,22 +431,30 @@ def fine_sketches(texts: DataFrame, classes: DataFrame, width: int) -> DataFrame
     return found.join(classes.select(*key), key).dropDuplicates(key).select("node", F.col("n_shingles").alias("n"), F.col("fine").alias("sketch"))
 
 
-def dealt(hot: DataFrame, block: int) -> DataFrame:
-    """Members of meetings in blocks (signature, i, j): those that ask in every block of members, and all as the asked."""
-    asks = F.col("probes")
-    counted = hot.groupBy("signature").agg(F.ceil(F.count_if(asks) / block).cast("long").alias("ask_blocks"), F.ceil(F.count("*") / block).cast("long").alias("blocks"))
-    rows = hot.withColumn("asks", asks).join(counted, "signature")
+def dealt(hot: DataFrame) -> DataFrame:
+    """Members of meetings in blocks (signature, i, j): those that ask in every block of members, and all as the asked.
+
+    ``hot`` has blocks and ask_blocks of its meeting, made by ``blocked``; each of its rows is read once.
+    """
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
-    asking = rows.filter("asks").withColumns({"i": own("ask_blocks"), "j": F.explode(F.sequence(zero, F.col("blocks") - one))})
-    held = rows.filter("ask_blocks > 0").withColumns({"asks": F.lit(False), "i": F.explode(F.sequence(zero, F.col("ask_blocks") - one)), "j": own("blocks")})
-    return asking.unionByName(held)
+    own = lambda n: F.pmod(F.xxhash64("node"), F.greatest(F.col(n), one))
+    place = lambda asks, i, j: F.struct(F.lit(asks).alias("asks"), i.alias("i"), j.alias("j"))
+    asking = F.transform(F.sequence(zero, F.col("blocks") - one), lambda j: place(True, own("ask_blocks"), j))
+    held = F.transform(F.filter(F.sequence(zero, F.col("ask_blocks")), lambda i: i < F.col("ask_blocks")), lambda i: place(False, i, own("blocks")))
+    return hot.withColumn("place", F.explode(F.when(F.col("probes"), F.concat(asking, held)).otherwise(held))).select("*", "place.*").drop("place", "blocks", "ask_blocks")
+
+
+def blocked(hot: DataFrame, block: int) -> DataFrame:
+    """Adds how many blocks a meeting's members, and those that ask, are dealt into."""
+    counted = hot.groupBy("signature").agg(F.ceil(F.count_if("probes") / block).cast("long").alias("ask_blocks"), F.ceil(F.count("*") / block).cast("long").alias("blocks"))
+    return hot.join(counted, "signature")
 
 
-def still_near(hot: DataFrame, t: Threshold) -> DataFrame:
+def still_near(hot: DataFrame, sketches: DataFrame, t: Threshold) -> DataFrame:
     """(signature, node, partner): members that the sketches leave with a partner in another component.
 
-    ``hot``: (signature, node, component, probes, n, sketch). Members that ask name the nearest such partner, others none.
+    ``hot``: (signature, node, component, probes); ``sketches``: (node, n, sketch). Members that ask name the nearest such
+    partner, others none.
     """
 
     def run(part: pa.Table) -> pa.Table:
@@ -470,7 +478,8 @@ def still_near(hot: DataFrame, t: Threshold) -> DataFrame:
         node = part.column("node").combine_chunks()
         return pa.table({"signature": part.column("signature").take(pa.array(some)), "node": node.take(pa.array(some)), "partner": node.take(pa.array(partner[some], mask=partner[some] < 0))})
 
-    return dealt(hot, SKETCH_BLOCK).groupBy("signature", "i", "j").applyInArrow(run, "signature long, node long, partner long")
+    rows = dealt(blocked(hot, SKETCH_BLOCK).join(sketches, "node"))
+    return rows.groupBy("signature", "i", "j").applyInArrow(run, "signature long, node long, partner long")
 
 
 def overlaps(a: list[set], b: list[set], columns: int = 4096) -> np.ndarray:
@@ -504,7 +513,7 @@ def rest_links(hot: DataFrame, texts: DataFrame, width: int, t: Threshold) -> Da
     ``hot``: (signature, node, component, probes). Members that probe are compared with all members, block by block, so a
     task is of bounded size. Only links that join components not yet joined in the task are returned.
     """
-    rows = dealt(hot, BLOCK).join(texts.withColumnRenamed("doc_id", "node"), "node")
+    rows = dealt(blocked(hot, BLOCK).join(texts.withColumnRenamed("doc_id", "node"), "node"))
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         root = {c: c for c in part["component"].tolist()}
@@ -594,7 +603,7 @@ def similar_components(df: DataFrame, width: int = 5, num: int = 80, den: int =
         parts = apart.groupBy("signature", "component").agg(F.count("*").alias("n"))
         several = parts.groupBy("signature").agg(F.count("*").alias("parts")).filter("parts > 1")
         apart = checkpointed(apart.join(several, "signature").select("signature", "node", "component", "probes"))
-        left = checkpointed(still_near(apart.join(sketch, "node"), t))
+        left = checkpointed(still_near(apart, sketch, t))
         if left.isEmpty():
             break
         apart = apart.join(left.select("signature", "node").distinct(), ["signature", "node"])

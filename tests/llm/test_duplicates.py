@@ -46,13 +46,16 @@ def changed(rng, text, n, alphabet):
     return text
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 1_000])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW_LINKS", few)
     rng = random.Random(1)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 480)] + [(5, 5), (None, 3)]
     out = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     real = [(a, b) for a, b in links if a is not None and a != b]
     expected = union(real, {x for p in real for x in p})
     assert out == expected
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def jaccard_expected(docs, num=80, den=100):
