@@ -7,14 +7,15 @@ earlier; other shorter lines stay. Lines are judged on the input.
 1. Equal lines are folded into classes (128-bit hashes), each with its earliest place.
 2. A class of length l is cut into threshold + 1 segments; of two lines within the threshold one segment of the shorter is
    in the longer unchanged, at a place that the lengths bound. Each class is indexed by the hashes of its segments and
-   probes, for each length from l - threshold to l, the substrings that can match a segment of that length. For a threshold
-   of one, the part outside the unchanged segment is cut again in the same way, so a key holds three quarters of a line.
-   Keys that only one class has are dropped before the join.
-3. Candidates are verified, without their common prefix and suffix, by the edit distance within a diagonal band of
-   2 * threshold + 1 cells, a bit for each cell, one step of bit operations a character.
-
-Defined cases: null text is empty and stays null; empty and blank lines count as lines; rows with one doc_id share their
-places, so lines at one place stay or go together; an empty table gives no rows; other columns are kept by ``dedup_lines``.
+   probes, for each length from l - threshold to l, the substrings that can match a segment of that length. Keys that only
+   one class has are dropped before the join.
+3. Candidates are verified by the edit distance within a diagonal band of 2 * threshold + 1 cells, a bit for each cell, one
+   step of bit operations a character: first over a few characters after the common prefix, which rules out most, then over
+   all between the common prefix and the common suffix.
+
+Defined cases: null text is empty and stays null; empty and blank lines count as lines; null doc_ids come before all others,
+rows with one doc_id in the order of a hash of their texts, and equal rows share their places, so their lines stay or go
+together; an empty table gives no rows; other columns, whatever their names, are kept by ``dedup_lines``.
 """
 
 from __future__ import annotations
@@ -28,12 +29,13 @@ THRESHOLD, MIN_CHARS = 1, 20
 #: Hash buckets by which lines that are in no candidate pair are left out before their text is shuffled again; the set of
 #: buckets is broadcast and has this many rows at most.
 BUCKETS = 1 << 18
-KEY = ("h1", "h2", "chars")
+KEY, PLACE = ("h1", "h2", "chars"), ("doc", "copy", "at")
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, at, line, chars, h1, h2) of every line."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).alias("at", "line"))
+    """(doc, copy, at, line, chars, h1, h2) of every line; copy tells rows with one doc_id apart."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("copy"), F.posexplode(F.split(text, "\n", -1)).alias("at", "line"))
     return rows.withColumns({"chars": F.length("line"), "h1": F.xxhash64("line"), "h2": F.xxhash64("line", F.lit(1))})
 
 
@@ -52,17 +54,8 @@ def keys(threshold: int, min_chars: int) -> list[Column]:
         key = F.xxhash64(length, F.lit(tag), *parts)
         out.append(F.struct(F.when(length >= min_chars, key).alias("key"), F.lit(probe).alias("probe")))
 
-    def suffix(n: Column) -> Column:
-        return F.substring(line, chars - n + 1, n)
-
     for less in range(threshold + 1):
         length = chars - less
-        if threshold == 1:
-            half = F.floor(length / 2).cast("int")
-            cuts = [F.lit(0), F.floor(half / 2).cast("int"), half, half + F.floor((length - half) / 2).cast("int"), length]
-            for j in range(4):
-                entry(less > 0, length, j, F.substring(line, F.lit(1), cuts[j]), suffix(length - cuts[j + 1]))
-            continue
         for i in range(threshold + 1):
             start, width = segment(length, i, threshold + 1)
             rest = threshold - i
@@ -110,41 +103,44 @@ def band_distance(x: Column, y: Column, threshold: int) -> Column:
     return F.aggregate(same, start, turn, lambda s: s["score"])
 
 
+#: Characters after the common prefix that are compared first.
+START = 12
 #: Lengths by which a common prefix or suffix is found; together they exceed any string that a row can hold.
 STEPS = tuple(1 << i for i in range(30, -1, -1))
 
 
 def within(a: Column, b: Column, threshold: int) -> Column:
-    """Whether two lines are within the threshold, by the band distance of what is between their common ends.
+    """Whether two lines, the first no longer, are within the threshold, by the band distance.
 
-    What follows the longest common prefix and precedes the longest common suffix differs at both its ends, so lines within
-    one edit have one character there at most; for that threshold all other pairs need no distance.
+    If they are, the band's path has cost threshold at most when it has read START characters of b, and reaches the band's
+    lower edge there by 2 * threshold steps down; where the distance to that cell is larger, the rest need not be read.
     """
-    shorter, longer = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
+    longer = F.length(b)
     steps = F.array(*map(F.lit, STEPS))
+    near = lambda x, y, most: once(F.split(x, ""), lambda x: once(F.split(y, ""), lambda y: band_distance(x, y, threshold) <= most))
 
     def common(limit: Column, start) -> Column:
         bits = F.length(F.bin(limit))  # longer steps than the limit cannot be taken
         same = lambda n, k: F.substring(a, start(a, n, k), k) == F.substring(b, start(b, n, k), k)
         return F.aggregate(F.slice(steps, len(STEPS) + 1 - bits, bits), F.lit(0), lambda n, k: n + F.when((n + k <= limit) & same(n, k), k).otherwise(0))
 
-    def verdict(head: Column, tail: Column) -> Column:
-        first = F.greatest(F.lit(0), head - threshold - 1)
-        after = F.greatest(F.lit(0), tail - threshold - 1)
-        chars = lambda line: F.split(F.substring(line, first + 1, F.length(line) - first - after), "")
-        near = once(chars(a), lambda x: once(chars(b), lambda y: band_distance(x, y, threshold) <= threshold))
-        return (longer - head - tail <= 1) & near if threshold == 1 else near
+    def between(head: Column, tail: Column) -> Column:
+        first, after = F.greatest(F.lit(0), head - threshold - 1), F.greatest(F.lit(0), tail - threshold - 1)
+        rest = lambda line: F.substring(line, first + 1, F.length(line) - first - after)
+        return near(rest(a), rest(b), threshold)
 
     def ends(head: Column) -> Column:
-        rest = once(shorter - head, lambda limit: common(limit, lambda s, n, k: F.length(s) - n - k + 1))
-        return once(rest, lambda tail: verdict(head, tail))
+        first = F.greatest(F.lit(0), head - threshold - 1)
+        begins = near(F.substring(a, first + 1, F.lit(START + threshold)), F.substring(b, first + 1, F.lit(START)), 3 * threshold)
+        tail = once(F.length(a) - head, lambda limit: common(limit, lambda s, n, k: F.length(s) - n - k + 1))
+        return F.when((longer - first < 2 * START + threshold) | begins, once(tail, lambda n: between(head, n))).otherwise(False)
 
-    return once(once(shorter, lambda limit: common(limit, lambda s, n, k: n + 1)), ends)
+    return once(once(F.length(a), lambda limit: common(limit, lambda s, n, k: n + 1)), ends)
 
 
 def classes(rows: DataFrame) -> DataFrame:
-    """(h1, h2, chars, line, first) of every different line; first is the struct (doc, at) of its earliest place."""
-    return rows.groupBy(*KEY).agg(F.min(F.struct("doc", "at")).alias("first"), F.first("line").alias("line"))
+    """(h1, h2, chars, line, first) of every different line; first is the struct (doc, copy, at) of its earliest place."""
+    return rows.groupBy(*KEY).agg(F.min(F.struct(*PLACE)).alias("first"), F.first("line").alias("line"))
 
 
 def near_pairs(rows: DataFrame, threshold: int, min_chars: int) -> DataFrame:
@@ -183,20 +179,28 @@ def earliest(rows: DataFrame, threshold: int, min_chars: int, short_copies: bool
     return own.groupBy(*KEY).agg(F.min("place").alias("earliest"))
 
 
+def gone(docs: DataFrame, threshold: int, min_chars: int, id_col: str, text_col: str, short_copies: bool) -> DataFrame:
+    """(doc, copy, at, earliest) of every line to remove."""
+    rows = lines(docs, id_col, text_col)
+    places = rows.filter(judged(min_chars, short_copies)).select(*PLACE, *KEY)
+    return places.join(earliest(rows, threshold, min_chars, short_copies), list(KEY)).filter(F.col("earliest") < F.struct(*PLACE)).select(*PLACE, "earliest")
+
+
 def removed_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = False) -> DataFrame:
     """(doc_id, line_no, first_doc, first_line) of every line to remove, with the earliest line that it repeats."""
-    rows = lines(docs, id_col, text_col)
-    places = rows.filter(judged(min_chars, short_copies)).select("doc", "at", *KEY)
-    found = places.join(earliest(rows, threshold, min_chars, short_copies), list(KEY)).filter(F.col("earliest") < F.struct("doc", "at"))
+    found = gone(docs, threshold, min_chars, id_col, text_col, short_copies)
     return found.select(F.col("doc").alias("doc_id"), F.col("at").alias("line_no"), F.col("earliest.doc").alias("first_doc"), F.col("earliest.at").alias("first_line"))
 
 
 def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = False) -> DataFrame:
     """``docs`` with all its columns, the text without its removed lines; documents without any keep their text as it is."""
-    gone = removed_lines(docs, threshold, min_chars, id_col, text_col, short_copies).groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set("line_no").alias("__gone"))
-    text = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    rows = docs.join(gone, docs[id_col].cast("long") == F.col("__doc"), "left")
-    return rows.withColumn(text_col, F.when(F.col("__gone").isNull(), docs[text_col]).otherwise(text)).select(*docs.columns)
+    found = gone(docs, threshold, min_chars, id_col, text_col, short_copies).groupBy("doc", "copy").agg(F.collect_set("at").alias("gone"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"))
+    rows = rows.join(found, F.col("id").eqNullSafe(F.col("doc")) & (F.col("hash") == F.col("copy")), "left")
+    text = F.col("row").getField(text_col)
+    kept = once(F.split(text, "\n", -1), lambda x: F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("gone")), lambda i: F.get(x, i)))
+    fresh = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    return rows.select(*(fresh.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -143,6 +143,16 @@ def test_short_copies_go_in_query_and_pipeline(spark, tmp_path):
     assert kept == dict(docs) | {2: "Let.\n\n \t", 4: "", 7: ""}
 
 
+def test_line_dedup_of_null_and_repeated_ids_and_clashing_names(spark):
+    same, other, third = "a line that is long enough", "another line, long enough", "a third line of some length"
+    docs = [(5, f"{same}\n{other}", "a"), (5, f"{third}\nclean and long enough to be judged", "b"), (None, f"{other}\nfirst of all", "c"), (None, f"{third}\n{third}", "d"), (7, f"{other}\nkept, as it is new here", "e"), (7, f"{other}\nkept, as it is new here", "f")]
+    frame = spark.createDataFrame([(*d, "x", 1) for d in docs], "doc_id long, text string, gone string, copy string, row int")
+    out = lines.dedup_lines(frame)
+    assert out.columns == frame.columns
+    kept = {r.gone: r.text for r in out.collect()}
+    assert kept == {"a": same, "b": "clean and long enough to be judged", "c": docs[2][1], "d": third, "e": "kept, as it is new here", "f": "kept, as it is new here"}
+
+
 def test_near_copies_of_very_long_lines(spark):
     rng = random.Random(6)
     line = "".join(rng.choice("abcdé ") for _ in range(300_000))
