@@ -1,4 +1,10 @@
-"""A corpus pipeline: toxic documents go, then repeated lines, near copies and long repeated passages; the rest is packed."""
+"""A corpus pipeline: toxic documents go, then repeated lines, near copies and long repeated passages; the rest is packed.
+
+Defined cases, in every stage but the last: rows keep all their columns, whatever their names; rows with null doc_id stay,
+linked with nothing, and lose repeated lines and passages as others do; rows with one doc_id are one document where documents
+are dropped, so they stay or go together; null texts stay null until passages are cut, where they become empty; an empty
+table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -13,8 +19,8 @@ from sheetmill.llm.common import checkpointed, table
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """``docs`` with n_chars counted anew; null for null text."""
-    return docs.withColumn("n_chars", F.length("text").cast("long"))
+    """``docs`` with n_chars, if there, counted anew; null for null text."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
 def ordinary(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +35,8 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: of documents linked by four fifths of their five-word shingles the one with the smallest doc_id."""
-    kept = jaccard.similar_components(docs).filter("doc_id <=> component_id").select("doc_id")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    kept = jaccard.similar_components(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("one"))
+    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["one"]), "left_semi")
 
 
 def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
