@@ -40,6 +40,8 @@ TURN = re.compile(re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(END) + "\n",
 #: Characters after which a part of a conversation is handed on; a longer turn is a part of its own.
 PART_CHARS = 1 << 20
 
+#: Fingerprints whose layout a worker remembers.
+KEPT_LAYOUTS = 10_000
 TURNS = "conv_id long, turn long, role string, text string"
 PARTS = "conv_id long, part long, formatted string, loss_starts array<long>, loss_lengths array<long>"
 
@@ -62,7 +64,7 @@ class Layout:
 
 
 def fingerprint(paths: tuple[str, ...] | list[str] | set[str]) -> str:
-    return hashlib.sha256("\n".join(sorted(set(paths))).encode()).hexdigest()[:16]
+    return hashlib.sha256("\n".join(sorted(set(paths))).encode(errors="surrogatepass")).hexdigest()[:16]
 
 
 #: Names of speakers in other layouts; any other role is kept as it is.
@@ -77,12 +79,32 @@ LAYOUTS = (
     Layout("prompt and response", ("prompt", "response"), fixed=(("user", "prompt"), ("assistant", "response"))),
     Layout("question and answer", ("question", "answer"), fixed=(("user", "question"), ("assistant", "answer"))),
     Layout("instruction", ("instruction", "output"), fixed=(("user", "instruction"), ("assistant", "output"))),
+    Layout("instruction with system alone", ("system", "instruction", "output"), fixed=(("system", "system"), ("user", "instruction"), ("assistant", "output"))),
     Layout("instruction with input", ("instruction", "input", "output"), fixed=(("user", "instruction+input"), ("assistant", "output"))),
     Layout("instruction with system", ("system", "instruction", "input", "output"), fixed=(("system", "system"), ("user", "instruction+input"), ("assistant", "output"))),
 )
 BY_FINGERPRINT = {layout.fingerprint: layout for layout in LAYOUTS}
 
 
+def layout_of(paths: set[str], found: dict[str, Layout | None] = BY_FINGERPRINT) -> Layout | None:
+    """The layout by the paths' fingerprint; of paths with others among them the one that has the most of its own there.
+
+    An empty list of messages has all their paths. The choice is made once for a fingerprint.
+    """
+    mark = fingerprint(paths)
+    if mark in found:
+        return found[mark]
+    layout = most_of(paths)
+    if len(found) < KEPT_LAYOUTS:
+        found[mark] = layout
+    return layout
+
+
+def most_of(paths: set[str]) -> Layout | None:
+    fits = [x for x in LAYOUTS if all(p in paths or x.messages and x.messages in paths and p.startswith(f"{x.messages}[]") for p in x.paths)]
+    return max(fits, key=lambda x: len(x.paths), default=None)
+
+
 def schema_paths(kind: T.DataType, at: str = "") -> list[str]:
     """The nested field paths of a Spark type."""
     if isinstance(kind, T.StructType):
@@ -102,7 +124,9 @@ def record_paths(value: object, at: str = "") -> set[str]:
 
 
 def as_text(value: object) -> str:
-    return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    """A value as text; halves of surrogate pairs, which no text can hold, become U+FFFD."""
+    text = "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return text if text.isascii() else text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
 
 
 def record_turns(layout: Layout, record: dict) -> list[tuple[str, str]]:
@@ -113,7 +137,10 @@ def record_turns(layout: Layout, record: dict) -> list[tuple[str, str]]:
         text = "\n".join(filter(None, (as_text(record.get(p)) for p in path.split("+"))))
         if role != "system" or text:
             out.append((role, text))
-    for m in record[layout.messages] if layout.messages else ():
+    listed = record.get(layout.messages) if layout.messages else ()
+    for m in listed if isinstance(listed, list) else ():
+        if not isinstance(m, dict):
+            continue
         role = as_text(m.get(layout.role))
         out.append((renamed.get(role, role), as_text(m.get(layout.text))))
     return out
@@ -122,23 +149,28 @@ def record_turns(layout: Layout, record: dict) -> list[tuple[str, str]]:
 def from_json(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """Canonical turns of JSON records, one row a turn, with the record's fingerprint and layout.
 
-    A record that is not an object, or of an unknown layout, gives one row with a null layout, turn, role and text.
+    A record that is not an object, is nested too deeply for the parser, or is of an unknown layout gives one row with a null
+    layout, turn, role and text; one of a known layout without any turn the same with its layout. Further fields are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                mark, layout, turns = None, None, []
                 try:
                     record = json.loads(raw or "")
-                except ValueError:
-                    record = None
-                mark = fingerprint(record_paths(record)) if isinstance(record, dict) else None
-                layout = BY_FINGERPRINT.get(mark)
-                if layout is None or not (layout.fixed or layout.messages):
-                    out.append((key, None, None, None, mark, None))
-                else:
-                    out += [(key, i, role, text, mark, layout.name) for i, (role, text) in enumerate(record_turns(layout, record))]
+                    if isinstance(record, dict):
+                        paths = record_paths(record)
+                        mark, layout = fingerprint(paths), layout_of(paths)
+                        if layout is not None and (layout.fixed or layout.messages):
+                            turns = record_turns(layout, record)
+                        else:
+                            layout = None
+                except (ValueError, RecursionError):
+                    layout = None
+                name = layout.name if layout else None
+                out += [(key, i, role, text, mark, name) for i, (role, text) in enumerate(turns)] or [(key, None, None, None, mark, name)]
             columns = list(zip(*out, strict=True)) if out else [()] * 6
             kinds = [pa.int64(), pa.int64(), *[pa.string()] * 4]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["conv_id", "turn", "role", "text", "fingerprint", "layout"])
@@ -147,11 +179,16 @@ def from_json(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
 
 
 def from_turn_rows(df: DataFrame, columns: tuple[str, ...] = ("conv_id", "turn", "role", "text")) -> DataFrame:
-    """Canonical turns of a table that has a row for each turn, found by the fingerprint of the named columns' schema."""
-    chosen = df.select(*columns)
-    layout = BY_FINGERPRINT.get(fingerprint(schema_paths(chosen.schema)))
+    """Canonical turns of a table that has a row for each turn, found by the fingerprint of its schema, further columns ignored.
+
+    ``columns`` are chosen first where the table's own names are of several layouts.
+    """
+    layout = layout_of(set(schema_paths(df.schema)))
+    if layout is None or layout.fixed or layout.messages:
+        layout = layout_of(set(schema_paths(df.select(*(c for c in columns if c in df.columns)).schema)))
     if layout is None or layout.fixed or layout.messages:
-        raise ValueError(f"no layout of turn rows for {schema_paths(chosen.schema)}")
+        raise ValueError(f"no layout of turn rows for {schema_paths(df.schema)}")
+    chosen = df.select(*layout.paths)
     return chosen.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce(layout.role, F.lit("")).alias("role"), F.coalesce(layout.text, F.lit("")).alias("text"))
 
 

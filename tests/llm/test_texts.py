@@ -105,6 +105,19 @@ def test_layouts_are_found_by_fingerprint(spark):
     for r in sorted(out, key=lambda r: (r.conv_id, r.turn or 0)):
         turns[r.conv_id].append((r.role, r.text))
     assert all(turns[i] == [("user", "a"), ("assistant", "b")] for i in (1, 2, 3, 4))
+    hostile = [
+        (20, "[" * 100_000), (21, '{"messages": [{"role": "user", "content": "\\ud800x"}]}'), (22, '{"id": 7, "messages": [{"role": "user", "content": "a", "name": "n"}, 5], "source": "s"}'),
+        (23, '{"messages": []}'), (24, '{"system": "s", "instruction": "i", "output": "o"}'), (25, '{"messages": "none"}'), (26, '{"a": ' * 5000 + "1" + "}" * 5000), (27, '{"\\ud800": 1}'),
+    ]
+    odd = defaultdict(list)
+    for r in chat.from_json(spark.createDataFrame(hostile, "id long, raw string"), "id", "raw").collect():
+        odd[r.conv_id].append((r.turn, r.role, r.text, r.layout))
+    assert odd[20] == odd[26] == odd[27] == [(None, None, None, None)]
+    assert odd[21] == [(0, "user", "\ufffdx", "messages")] and odd[22] == [(0, "user", "a", "messages")]
+    assert odd[23] == odd[25] == [(None, None, None, "messages")]
+    assert [x[1:3] for x in odd[24]] == [("system", "s"), ("user", "i"), ("assistant", "o")]
+    wide = spark.createDataFrame([(1, 0, "user", "a", 5)], "conv_id int, turn int, role string, text string, extra int")
+    assert [tuple(r) for r in chat.from_turn_rows(wide).collect()] == [(1, 0, "user", "a")]
     assert all(turns[i] == [(None, None)] for i in (5, 6, 7)) and next(r for r in out if r.conv_id == 5).fingerprint
 
 
