@@ -102,3 +102,37 @@ def patches(c: Column, side: int = 28) -> Column:
 
 def squared_distance(ax, ay, bx, by) -> Column:
     return (ax - bx) * (ax - bx) + (ay - by) * (ay - by)
+
+
+def enlarged(width: Column, height: Column, least: int = 56, multiple: int = 28) -> dict[str, Column]:
+    """Size with the shorter side scaled up to ``least``, both sides rounded up to a multiple."""
+    scale = F.lit(float(least)) / F.least(width, height)
+    grown = lambda c: F.when(F.least(width, height) < least, F.greatest(F.lit(1), whole(c * scale))).otherwise(c.cast("int"))
+    return {"patch_w": patches(grown(width), multiple), "patch_h": patches(grown(height), multiple)}
+
+
+def points_to_crop(x0, y0, x1, y1, left, top, dpi: int, ratio_w, ratio_h, width, height) -> dict[str, Column]:
+    """Pixels in a crop that was rendered from (left, top) points on and resized by the ratios, clamped to its size."""
+    scale = F.lit(dpi) / F.lit(72.0)
+    pixel = lambda c, start, ratio, most: whole(F.greatest(F.lit(0.0), F.least(most.cast("double"), whole(c * scale - start * scale) * ratio)))
+    return {"cx0": pixel(x0, left, ratio_w, width - 1), "cy0": pixel(y0, top, ratio_h, height - 1), "cx1": pixel(x1, left, ratio_w, width), "cy1": pixel(y1, top, ratio_h, height)}
+
+
+def crop_to_page(x, y, w, h, left, top, page_w, page_h) -> dict[str, Column]:
+    """Pixels of the page, and shares of it, of a box in pixels of a crop that starts at (left, top)."""
+    px0, py0 = left + whole(x), top + whole(y)
+    share = lambda c, size: c / size.cast("double")
+    return {"px0": px0, "py0": py0, "px1": px0 + whole(w), "py1": py0 + whole(h), "sx": share(px0, page_w), "sy": share(py0, page_h), "sw": share(whole(w), page_w), "sh": share(whole(h), page_h)}
+
+
+def region_to_page(region: tuple, x, y, w, h) -> dict[str, Column]:
+    """The page's shares of a box in shares of a region, clamped to the page."""
+    rx, ry, rw, rh = region
+    return clamp_share(rx + x * rw, ry + y * rh, w * rw, h * rh)
+
+
+def relative_crop(x0, y0, x1, y1, width, height) -> dict[str, Column]:
+    """Pixels of a crop given by its corners' shares, clamped and at least one pixel wide and high."""
+    low = lambda c, size: F.greatest(F.lit(0), F.least(size.cast("int") - 1, whole(c * size)))
+    a, b = low(x0, width), low(y0, height)
+    return {"rx0": a, "ry0": b, "rx1": F.greatest(a + 1, F.least(width.cast("int"), whole(x1 * width))), "ry1": F.greatest(b + 1, F.least(height.cast("int"), whole(y1 * height)))}

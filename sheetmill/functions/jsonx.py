@@ -39,8 +39,7 @@ def relaxed_first(text: Column) -> Column:
 
 def value(json: Column, path: str) -> Column:
     """A field as stripped text; missing, null, 0, false and [] are empty."""
-    found = strip(F.coalesce(F.get_json_object(json, path), F.lit("")))
-    return F.when(found.isin("0", "false", "[]", "{}", "null"), "").otherwise(found)
+    return truthy(F.get_json_object(json, path))
 
 
 def box(text: Column) -> Column:
@@ -48,3 +47,25 @@ def box(text: Column) -> Column:
     raw = F.from_json(filled(F.regexp_extract(F.coalesce(text, F.lit("")), BRACES, 0)), "bbox struct<x:double,y:double,w:double,h:double>")["bbox"]
     part = clamp_share(*(F.coalesce(raw[n], F.lit(0.0)) for n in "xywh"))
     return F.when(raw.isNotNull() & (part["w"] > 0) & (part["h"] > 0), F.struct(*(part[n].alias(n) for n in "xywh")))
+
+
+RECORD = ("drawing_no", "sheet_name", "drawing_title", "project", "discipline", "revision", "scale", "date")
+
+
+def fields(object_: Column, names: tuple[str, ...], kind: str | None = None) -> list[Column]:
+    """Fields of a JSON object as stripped texts, parsed once; missing, null, 0, false and [] are empty.
+
+    ``object_`` has to be a column of the rows, not an expression, or it is made anew for each field.
+    """
+    parsed = F.from_json(object_, kind or ", ".join(f"`{n}` string" for n in names))
+    return [truthy(parsed[n]).alias(n) for n in names]
+
+
+def truthy(found: Column) -> Column:
+    found = strip(F.coalesce(found, F.lit("")))
+    return F.when(found.isin("0", "false", "[]", "{}", "null"), "").otherwise(found)
+
+
+def record_or_default(text: Column, object_: Column, error: str) -> list[Column]:
+    """The record's fields, all empty where an answer holds no object, and ``_error``: what went wrong, null if nothing did."""
+    return [*fields(object_, RECORD), F.when((object_ == "{}") & ~strip(F.coalesce(text, F.lit(""))).startswith("{}"), error).alias("_error")]

@@ -189,14 +189,33 @@ def cleanup_model_text(c: Column) -> Column:
 
 
 def letter_id(n: Column) -> Column:
-    """A to Z, AA to ZZ, AAA ... for 0, 1, 2 ... up to three letters."""
-    letter = lambda k: F.char((F.lit(65) + k % 26).cast("int"))
-    two, three = F.floor((n - 26) / 26), F.floor((n - 702) / 676)
-    return (
-        F.when(n < 26, letter(n))
-        .when(n < 702, F.concat(letter(two), letter(n - 26)))
-        .otherwise(F.concat(letter(three), letter(F.floor((n - 702) / 26)), letter(n - 702)))
-    )
+    """A to Z, AA to ZZ, AAA ... for 0, 1, 2 ... up to the largest number."""
+    start = F.struct((n + 1).cast("long").alias("n"), F.lit("").alias("id"))
+
+    def put(s: Column, _: Column) -> Column:
+        rest = (s["n"] - 1).cast("long")
+        letter = F.char((F.lit(65) + rest % 26).cast("int"))
+        return F.struct(F.when(s["n"] > 0, F.floor(rest / 26).cast("long")).otherwise(s["n"]).alias("n"), F.when(s["n"] > 0, F.concat(letter, s["id"])).otherwise(s["id"]).alias("id"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(14)), start, put, lambda s: s["id"])
+
+
+def base_name(path: Column) -> Column:
+    return F.regexp_extract(path, "[^/]+$", 0)
+
+
+def stem(path: Column) -> Column:
+    """The base name without its last suffix; a leading dot is part of the name."""
+    return F.regexp_replace(base_name(path), r"(?<=.)\.[^.]*$", "")
+
+
+#: Fixed value: characters of text in a prompt.
+PROMPT_CHARS = 4000
+
+
+def text_prompt(text: Column) -> Column:
+    """The user prompt of a text model."""
+    return F.concat(F.lit("OCR TEXT:\n"), F.substring(F.coalesce(text, F.lit("")), 1, PROMPT_CHARS))
 
 
 def derived_path(path: Column, page: Column, drawing: Column, prefix: str = "page") -> Column:

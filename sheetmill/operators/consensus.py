@@ -30,7 +30,7 @@ def consensus(detected: DataFrame, least: float = 0.5, ratio: float = 0.6) -> Da
     before = tuple(F.lag(n).over(w) for n in "xywh")
     rows = rows.withColumns({"near": iou(corners("m"), corners()), "pair": iou((before[0], before[1], before[0] + before[2], before[1] + before[3]), corners())})
     found = rows.groupBy("pdf_path").agg(F.first("boxes").alias("boxes"), F.sum((F.col("near") >= least).cast("int")).alias("hits"), F.max("pair").alias("pair"), *(F.first(f"m{n}").alias(f"m{n}") for n in "xywh"))
-    required = F.greatest(F.lit(1), F.ceil(F.col("boxes") * ratio - 1e-9)).cast("int")
+    required = F.greatest(F.lit(1), F.ceil(F.col("boxes") * ratio)).cast("int")
     found = found.withColumn("required", required).withColumn("pair_ok", (F.col("boxes") == 2) & (F.coalesce("pair", F.lit(0.0)) >= least))
     found = found.withColumn("ok", (F.col("hits") >= F.col("required")) | F.col("pair_ok")).drop("pair")
     everything = detected.select("pdf_path").distinct().join(found, "pdf_path", "left")

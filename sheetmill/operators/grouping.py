@@ -19,6 +19,11 @@ def median_or(c: Column, default: float) -> Column:
     return F.coalesce(F.median(F.when(c > 0, c)), F.lit(default))
 
 
+def clipped(words: DataFrame, x0: float, y0: float, x1: float, y1: float) -> DataFrame:
+    """Words that share some area with a rectangle."""
+    return words.filter((F.col("x0") < x1) & (F.col("x1") > x0) & (F.col("y0") < y1) & (F.col("y1") > y0))
+
+
 def line_buckets(words: DataFrame, gap: float = 3.0, order: str = "word_id") -> DataFrame:
     """Adds line: a new one begins where the vertical centre moves by more than ``gap`` from the word before."""
     middle = (F.col("y0") + F.col("y1")) / 2
@@ -36,11 +41,11 @@ def merged_tokens(lines: DataFrame, gap: float = 6.0, order: str = "word_id") ->
     return box_union(rows, [*PAGE, "line", "token"], "x0", order, " ")
 
 
-def box_union(words: DataFrame, keys: list[str], *by: str) -> DataFrame:
-    """One box for each group, its text joined in the order of ``by[:-1]`` with ``by[-1]`` between."""
+def box_union(words: DataFrame, keys: list[str], *by: str, more: tuple[Column, ...] = ()) -> DataFrame:
+    """One box for each group, its text joined in the order of ``by[:-1]`` with ``by[-1]`` between, and more aggregates."""
     *order, glue = by
     texts = F.array_sort(F.collect_list(F.struct(*order, "text")))
-    return words.groupBy(*keys).agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.array_join(F.transform(texts, lambda t: t["text"]), glue).alias("text"))
+    return words.groupBy(*keys).agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.array_join(F.transform(texts, lambda t: t["text"]), glue).alias("text"), *more)
 
 
 def pdf_lines(words: DataFrame) -> DataFrame:
@@ -56,9 +61,7 @@ def merged_regions(words: DataFrame, line: list[str], gap: float = 12.0, overlap
     w = Window.partitionBy(*PAGE, *line).orderBy("x0", order)
     near = (F.col("x0") - F.lag("x1").over(w) <= gap) & (y_overlap(F.col("y0"), F.col("y1"), F.lag("y0").over(w), F.lag("y1").over(w)) >= overlap)
     rows = words.withColumn("new", F.when(F.lag("x1").over(w).isNull() | near, 0).otherwise(1)).withColumn("region", F.sum("new").over(w).cast("int"))
-    joined = box_union(rows, [*PAGE, *line, "region"], "x0", order, "")
-    conf = rows.groupBy(*PAGE, *line, "region").agg(F.avg("conf").alias("conf_avg"))
-    return joined.join(conf, [*PAGE, *line, "region"])
+    return box_union(rows, [*PAGE, *line, "region"], "x0", order, "", more=(F.avg("conf").alias("conf_avg"),))
 
 
 def overlap_lines(words: DataFrame, overlap: float = 0.5, order: str = "word_id") -> DataFrame:

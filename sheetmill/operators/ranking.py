@@ -92,3 +92,15 @@ def merge_crops(crops: DataFrame, keys: list[str], order: str, fields: list[str]
     first = [F.coalesce(F.min_by(filled(F.col(f)), F.when(F.col(f) != "", F.col(order))), F.lit("")).alias(f) for f in fields]
     used = F.array_join(F.array_sort(F.collect_set(F.when(some, F.col(order)))), ",").alias("crops")
     return crops.groupBy(*keys).agg(*first, used)
+
+
+def ladder(attempts: DataFrame, keys: list[str], steps: int = 3, tries: int = 2) -> DataFrame:
+    """The box that a ladder of detections gives: (keys, attempt, x, y, w, h), no row where no step has one.
+
+    Each step is tried ``tries`` times and gives its first box; a box without width or height is passed over in every step
+    but the last.
+    """
+    step = F.floor(F.col("attempt") / tries)
+    first = first_row(attempts.filter("x IS NOT NULL").withColumn("step", step), [*keys, "step"], "attempt")
+    fits = (F.col("step") >= steps - 1) | ((F.col("w") > 0) & (F.col("h") > 0))
+    return first_row(first.filter(fits), keys, "attempt").drop("step")

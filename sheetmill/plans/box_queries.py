@@ -16,11 +16,6 @@ from .text_queries import PAGE, TOKEN, TOKEN_MATCH, register
 # ---- pages and words -------------------------------------------------------------------------------------------------
 
 
-@register("pages_list", f"SELECT pdf_path, page_index, page_count FROM {duck('pages')} WHERE page_index < 3")
-def pages_list(spark, sf_dir):
-    return relation(spark, sf_dir, "pages").filter("page_index < 3").select(*PAGE, "page_count")
-
-
 ROI = "((y0 + y1) / 2 >= 0.75 * page_h OR (x0 + x1) / 2 >= 0.80 * page_w)"
 
 def roi(words):
@@ -86,15 +81,6 @@ def vector_all_matches(spark, sf_dir):
     return all_matches(roi(relation(spark, sf_dir, "words"))).groupBy(*PAGE, "source", "text").agg(F.count("*").alias("n"))
 
 
-@register("vector_csv_vs_jsonl", f"SELECT p.pdf_path, p.page_index, CAST(count(m.pdf_path) AS bigint) AS candidates, count(m.pdf_path) > 0 AS in_csv FROM (SELECT DISTINCT pdf_path, page_index FROM {duck('words')}) AS p LEFT JOIN ({DIRECT.replace('WHERE', 'WHERE word_id % 40 = 0 AND')}) AS m USING (pdf_path, page_index) GROUP BY ALL")
-def vector_csv_vs_jsonl(spark, sf_dir):
-    """Pages without a candidate keep a null record in the JSON lines and have no row in the CSV file."""
-    words = relation(spark, sf_dir, "words")
-    found = vector_matches(roi(words.filter("word_id % 40 = 0"))).groupBy(*PAGE).agg(F.count("*").alias("candidates"))
-    pages = words.select(*PAGE).distinct().join(found, PAGE, "left")
-    return pages.select(*PAGE, F.coalesce("candidates", F.lit(0)).alias("candidates"), F.col("candidates").isNotNull().alias("in_csv"))
-
-
 @register("pdf_lines", f"SELECT pdf_path, page_index, block_no, line_no, string_agg(trim(text), ' ' ORDER BY word_no, word_id) AS text, min(x0) AS x0_pt, min(y0) AS y0_pt, max(x1) AS x1_pt, max(y1) AS y1_pt FROM {duck('words')} GROUP BY ALL")
 def pdf_lines(spark, sf_dir):
     return grouping.pdf_lines(relation(spark, sf_dir, "words"))
@@ -255,10 +241,10 @@ def fit_size(spark, sf_dir):
     return rows.select(*PAGE, *(c.alias(n) for n, c in found.items()))
 
 
-@register("grid_cells", f"SELECT pdf_path, page_index, CAST(gx AS int) AS gx, CAST(gy AS int) AS gy, CAST(trunc(gx * page_w / 4.0) AS int) AS x0, CAST(trunc(gy * page_h / 4.0) AS int) AS y0, gx >= 2 AND gy >= 2 AS bottom_right FROM {duck('pages')}, (SELECT unnest(range(4)) AS gx), (SELECT unnest(range(4)) AS gy) WHERE page_index = 0")
+@register("grid_cells", f"SELECT pdf_path, page_index, CAST(gx AS int) AS gx, CAST(gy AS int) AS gy, CAST(trunc(gx * page_w / 4.0) AS int) AS x0, CAST(trunc(gy * page_h / 4.0) AS int) AS y0, gx >= 2 AND gy >= 2 AS bottom_right FROM {duck('pages')}, (SELECT unnest(range(4)) AS gx), (SELECT unnest(range(4)) AS gy)")
 def grid_cells(spark, sf_dir):
     cell = F.sequence(F.lit(0), F.lit(3))
-    rows = relation(spark, sf_dir, "pages").filter("page_index = 0").withColumn("gx", F.explode(cell)).withColumn("gy", F.explode(cell))
+    rows = relation(spark, sf_dir, "pages").withColumn("gx", F.explode(cell)).withColumn("gy", F.explode(cell))
     corner = lambda c, size: g.whole(F.col(c) * F.col(size) / 4)
     return rows.select(*PAGE, "gx", "gy", corner("gx", "page_w").alias("x0"), corner("gy", "page_h").alias("y0"), ((F.col("gx") >= 2) & (F.col("gy") >= 2)).alias("bottom_right"))
 
@@ -296,7 +282,7 @@ def median_bbox(spark, sf_dir):
     return found.select("pdf_path", *(F.round(f"m{n}", 6).alias(f"m{n}") for n in "xywh"), "boxes")
 
 
-AGREED = f"""SELECT d.pdf_path, CAST(coalesce(boxes, 0) AS bigint) AS boxes, CAST(coalesce(hits, 0) AS bigint) AS hits, coalesce(greatest(1, CAST(ceil(boxes * 0.6::DOUBLE - 1e-9) AS int)), 0) AS required, coalesce(boxes = 2 AND pair >= 0.5, false) AS pair_ok, coalesce(hits >= greatest(1, ceil(boxes * 0.6::DOUBLE - 1e-9)) OR (boxes = 2 AND pair >= 0.5), false) AS ok
+AGREED = f"""SELECT d.pdf_path, CAST(coalesce(boxes, 0) AS bigint) AS boxes, CAST(coalesce(hits, 0) AS bigint) AS hits, CASE WHEN boxes IS NULL THEN 0 ELSE greatest(1, CAST(ceil(boxes * 0.6::DOUBLE) AS int)) END AS required, coalesce(boxes = 2 AND pair >= 0.5, false) AS pair_ok, coalesce(hits >= greatest(1, ceil(boxes * 0.6::DOUBLE)) OR (boxes = 2 AND pair >= 0.5), false) AS ok
   FROM (SELECT DISTINCT pdf_path FROM {SAMPLE}) AS d LEFT JOIN (SELECT pdf_path, any_value(boxes) AS boxes, sum(({sql_iou(sql_corners('m'), sql_corners(''))} >= 0.5)::INT) AS hits, max({sql_iou(sql_corners('p'), sql_corners(''))}) AS pair
   FROM (SELECT *, lag(x) OVER v AS px, lag(y) OVER v AS py, lag(w) OVER v AS pw, lag(h) OVER v AS ph FROM (SELECT s.* FROM {SAMPLE} WHERE x IS NOT NULL) JOIN (SELECT pdf_path, {MEDIAN}, count(*) AS boxes FROM {SAMPLE} WHERE x IS NOT NULL GROUP BY pdf_path) USING (pdf_path) WINDOW v AS (PARTITION BY pdf_path ORDER BY page_index)) GROUP BY pdf_path) AS f ON d.pdf_path = f.pdf_path"""
 
@@ -328,29 +314,14 @@ def detection_summary(spark, sf_dir):
     return sinks.summary(relation(spark, sf_dir, "boxes"))
 
 
+#: The reference's most boxes of a page in a prompt.
+MOST_BOXES = 60
 LETTER = "chr(CAST(65 + {0} AS int))"
 
 
-@register("box_ids", f"SELECT pdf_path, page_index, word_id, CASE WHEN n < 26 THEN {LETTER.format('n')} ELSE {LETTER.format('(n - 26) // 26')} || {LETTER.format('(n - 26) % 26')} END AS id FROM (SELECT *, word_id - 1 AS n FROM {duck('words')} WHERE word_id <= 60)")
+@register("box_ids", f"SELECT pdf_path, page_index, word_id, CASE WHEN n < 26 THEN {LETTER.format('n')} ELSE {LETTER.format('(n - 26) // 26')} || {LETTER.format('(n - 26) % 26')} END AS id FROM (SELECT *, word_id - 1 AS n FROM {duck('words')} WHERE word_id <= {MOST_BOXES})")
 def box_ids(spark, sf_dir):
-    return relation(spark, sf_dir, "words").filter("word_id <= 60").select(*PAGE, "word_id", t.letter_id(F.col("word_id") - 1).alias("id"))
-
-
-@register("box_class_join", f"SELECT b.pdf_path, b.page_index, b.word_id, c.field FROM (SELECT * FROM {duck('words')} WHERE word_id <= 5) AS b LEFT JOIN (SELECT pdf_path, page_index, word_id % 7 AS k, arg_max(text, word_id) AS field FROM {duck('words')} WHERE word_id BETWEEN 6 AND 40 AND word_id % 7 <> 3 GROUP BY ALL) AS c ON c.pdf_path = b.pdf_path AND c.page_index = b.page_index AND c.k = b.word_id")
-def box_class_join(spark, sf_dir):
-    """Fields by box id; of several entries for one id the last wins, boxes without any keep only their id."""
-    words = relation(spark, sf_dir, "words")
-    entries = words.filter("word_id BETWEEN 6 AND 40 AND word_id % 7 <> 3").withColumn("id", t.letter_id(F.col("word_id") % 7 - 1))
-    fields = entries.groupBy(*PAGE, "id").agg(F.max_by("text", "word_id").alias("field"))
-    boxes = words.filter("word_id <= 5").select(*PAGE, "word_id", t.letter_id(F.col("word_id") - 1).alias("id"))
-    return boxes.join(fields, [*PAGE, "id"], "left").select(*PAGE, "word_id", "field")
-
-
-@register("box_prompt", f"SELECT pdf_path, page_index, string_agg(printf('%d: [%.4f, %.4f]', word_id, x0 / 2384, y0 / 1684), chr(10) ORDER BY word_id) AS prompt FROM {duck('words')} WHERE word_id <= 10 GROUP BY ALL")
-def box_prompt(spark, sf_dir):
-    line = F.format_string("%d: [%.4f, %.4f]", "word_id", F.col("x0") / 2384, F.col("y0") / 1684)
-    rows = relation(spark, sf_dir, "words").filter("word_id <= 10").groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("word_id", line.alias("line")))).alias("l"))
-    return rows.select(*PAGE, F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("prompt"))
+    return relation(spark, sf_dir, "words").filter(F.col("word_id") <= MOST_BOXES).select(*PAGE, "word_id", t.letter_id(F.col("word_id") - 1).alias("id"))
 
 
 @register("jsonl_projection", f"SELECT pdf_path, page_index, '{{\"x\":' || CAST(x AS varchar) || ',\"w\":' || CAST(w AS varchar) || '}}' AS bbox_json FROM {duck('boxes')} WHERE x IS NOT NULL UNION ALL SELECT pdf_path, page_index, 'null' FROM {duck('boxes')} WHERE x IS NULL")
@@ -361,25 +332,22 @@ def jsonl_projection(spark, sf_dir):
 
 # ---- the same over all pages and words -------------------------------------------------------------------------------
 
-#: The reference's most boxes of a page in a prompt.
-MOST_BOXES = 60
 
-
-@register("pages_list_whole", f"SELECT pdf_path, page_index, page_count FROM {duck('pages')}")
-def pages_list_whole(spark, sf_dir):
+@register("pages_list", f"SELECT pdf_path, page_index, page_count FROM {duck('pages')}")
+def pages_list(spark, sf_dir):
     return relation(spark, sf_dir, "pages").select(*PAGE, "page_count")
 
 
-@register("vector_csv_vs_jsonl_whole", f"SELECT p.pdf_path, p.page_index, CAST(count(m.pdf_path) AS bigint) AS candidates, count(m.pdf_path) > 0 AS in_csv FROM (SELECT DISTINCT pdf_path, page_index FROM {duck('words')}) AS p LEFT JOIN ({DIRECT}) AS m USING (pdf_path, page_index) GROUP BY ALL")
-def vector_csv_vs_jsonl_whole(spark, sf_dir):
+@register("vector_csv_vs_jsonl", f"SELECT p.pdf_path, p.page_index, CAST(count(m.pdf_path) AS bigint) AS candidates, count(m.pdf_path) > 0 AS in_csv FROM (SELECT DISTINCT pdf_path, page_index FROM {duck('words')}) AS p LEFT JOIN ({DIRECT}) AS m USING (pdf_path, page_index) GROUP BY ALL")
+def vector_csv_vs_jsonl(spark, sf_dir):
     words = relation(spark, sf_dir, "words")
     found = vector_matches(roi(words)).groupBy(*PAGE).agg(F.count("*").alias("candidates"))
     pages = words.select(*PAGE).distinct().join(found, PAGE, "left")
     return pages.select(*PAGE, F.coalesce("candidates", F.lit(0)).alias("candidates"), F.col("candidates").isNotNull().alias("in_csv"))
 
 
-@register("box_class_join_whole", f"SELECT b.pdf_path, b.page_index, b.word_id, c.field FROM (SELECT * FROM {duck('words')} WHERE word_id <= {MOST_BOXES}) AS b LEFT JOIN (SELECT pdf_path, page_index, word_id // 2 AS k, arg_max(text, word_id) AS field FROM {duck('words')} GROUP BY ALL) AS c ON c.pdf_path = b.pdf_path AND c.page_index = b.page_index AND c.k = b.word_id")
-def box_class_join_whole(spark, sf_dir):
+@register("box_class_join", f"SELECT b.pdf_path, b.page_index, b.word_id, c.field FROM (SELECT * FROM {duck('words')} WHERE word_id <= {MOST_BOXES}) AS b LEFT JOIN (SELECT pdf_path, page_index, word_id // 2 AS k, arg_max(text, word_id) AS field FROM {duck('words')} GROUP BY ALL) AS c ON c.pdf_path = b.pdf_path AND c.page_index = b.page_index AND c.k = b.word_id")
+def box_class_join(spark, sf_dir):
     """All words of a page are entries, two for each id; boxes in the second half of a page have none."""
     words = relation(spark, sf_dir, "words")
     entries = words.withColumn("id", t.letter_id(F.floor(F.col("word_id") / 2).cast("int") - 1)).filter("word_id >= 2")
@@ -388,8 +356,8 @@ def box_class_join_whole(spark, sf_dir):
     return boxes.join(fields, [*PAGE, "id"], "left").select(*PAGE, "word_id", "field")
 
 
-@register("box_prompt_whole", f"SELECT pdf_path, page_index, string_agg(printf('%d: [%.4f, %.4f]', word_id, x0 / 2384, y0 / 1684), chr(10) ORDER BY word_id) AS prompt FROM {duck('words')} WHERE word_id <= {MOST_BOXES} GROUP BY ALL")
-def box_prompt_whole(spark, sf_dir):
+@register("box_prompt", f"SELECT pdf_path, page_index, string_agg(printf('%d: [%.4f, %.4f]', word_id, x0 / 2384, y0 / 1684), chr(10) ORDER BY word_id) AS prompt FROM {duck('words')} WHERE word_id <= {MOST_BOXES} GROUP BY ALL")
+def box_prompt(spark, sf_dir):
     line = F.format_string("%d: [%.4f, %.4f]", "word_id", F.col("x0") / 2384, F.col("y0") / 1684)
     rows = relation(spark, sf_dir, "words").filter(F.col("word_id") <= MOST_BOXES).groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("word_id", line.alias("line")))).alias("l"))
     return rows.select(*PAGE, F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("prompt"))

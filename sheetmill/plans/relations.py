@@ -1,6 +1,7 @@
 """Title-block relations derived from the driver's tables by SQL that Spark and DuckDB read alike.
 
-``{orders}``, ``{customer}`` and ``{lineitem}`` stand for the tables, so that one text serves both engines.
+``{orders}``, ``{customer}`` and ``{lineitem}`` stand for the tables, so that one text serves both engines. A page of words holds
+those of about a hundred orders, or of a single one, so pages grow in number with the tables and not in size.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ FROM {orders}
 """
 
 WORDS = """
-SELECT 'set/w' || lpad(CAST(k % 25 AS varchar(20)), 2, '0') || '.pdf' AS pdf_path, CAST(floor(k / 25) AS int) AS page_index,
+SELECT 'set/w' || lpad(CAST(CAST(floor(k / 20) AS bigint) AS varchar(20)), 6, '0') || '.pdf' AS pdf_path, CAST(k % 20 AS int) AS page_index,
   CAST(row_number() OVER (PARTITION BY k ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
     l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS int) AS word_id,
   CAST(x AS double) AS x0, CAST(x + 8 + l_suppkey % 40 AS double) AS x1, CAST(y AS double) AS y0, CAST(y + 14 AS double) AS y1,
@@ -31,7 +32,7 @@ SELECT 'set/w' || lpad(CAST(k % 25 AS varchar(20)), 2, '0') || '.pdf' AS pdf_pat
     ELSE 'detail' END AS text,
   CAST(floor(l_suppkey / 10) % 6 AS int) AS block_no, CAST(l_suppkey % 10 AS int) AS line_no, l_linenumber AS word_no,
   CAST(l_partkey % 102 - 1 AS double) AS conf, 2384 AS page_w, 1684 AS page_h
-FROM (SELECT *, l_orderkey % 500 AS k, (l_partkey * 37 + l_linenumber * 11) % 2300 AS x, (l_suppkey * 7 % 60) * 28 AS y FROM {lineitem}) AS numbered
+FROM (SELECT *, 2 * CAST(floor(l_orderkey / 100) AS bigint) + CASE WHEN l_orderkey % 100 = 0 THEN 1 ELSE 0 END AS k, (l_partkey * 37 + l_linenumber * 11) % 2300 AS x, (l_suppkey * 7 % 60) * 28 AS y FROM {lineitem}) AS numbered
 """
 
 OCR = f"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import jsonx
@@ -141,14 +140,8 @@ for _name, _field in (("drawing_no", "drawing_no"), ("scale", "scale"), ("date",
     register(f"rule_{_name}", f"SELECT pdf_path, page_index, {_field} FROM ({RULES})")(lambda spark, sf_dir, f=_field: rules(spark, sf_dir).select(*PAGE, f))
 
 
-@register("csv_group_lines", f"SELECT pdf_path, page_index, array_to_string(lines[1:4], '|') AS lines, len(lines[1:4])::INT AS n FROM {LINES.replace(chr(60) + chr(62) + ' ' + chr(39) * 2, chr(60) + chr(62) + ' ' + chr(39) * 2 + ' AND ' + ANCHOR.format('text'))}")
+@register("csv_group_lines", f"SELECT pdf_path, page_index, array_to_string(lines[1:200], '|') AS lines, len(lines[1:200])::INT AS n FROM {LINES.replace(chr(60) + chr(62) + ' ' + chr(39) * 2, chr(60) + chr(62) + ' ' + chr(39) * 2 + ' AND ' + ANCHOR.format('text'))}")
 def csv_group_lines(spark, sf_dir):
-    pages = classify.page_lines(relation(spark, sf_dir, "lines"), most=4, only_anchors=True)
-    return pages.select(*PAGE, F.array_join("lines", "|").alias("lines"), F.size("lines").alias("n"))
-
-
-@register("csv_group_lines_whole", SQL["csv_group_lines"].replace("lines[1:4]", "lines[1:200]"))
-def csv_group_lines_whole(spark, sf_dir):
     """With the reference's most lines of a page."""
     pages = classify.page_lines(relation(spark, sf_dir, "lines"), only_anchors=True)
     return pages.select(*PAGE, F.array_join("lines", "|").alias("lines"), F.size("lines").alias("n"))
@@ -281,17 +274,23 @@ def normalize_text(spark, sf_dir):
 OBJECT = "CASE WHEN raw LIKE '{%' AND raw LIKE '%}' AND raw NOT LIKE '%''%' THEN raw WHEN raw LIKE '```%' THEN regexp_extract(raw, '(?s)\\{.*\\}', 0) WHEN raw LIKE '{%' AND raw NOT LIKE '%''%' THEN regexp_extract(raw, '(?s)\\{.*\\}', 0) ELSE '{}' END"
 
 
-def model_fields() -> list[Column]:
-    found = jsonx.relaxed(F.col("raw"))
-    return [jsonx.value(found, "$.drawing_no").alias("drawing_no"), t.first_of(jsonx.value(found, "$.drawing_title"), jsonx.value(found, "$.title")).alias("title"), jsonx.value(found, "$.scale").alias("scale"), jsonx.value(found, "$.page.total").alias("page_total")]
-
-
 PARSED = f"""SELECT pdf_path, page_index, crop_ord, coalesce(json_extract_string(o, '$.drawing_no'), '') AS drawing_no, coalesce(json_extract_string(o, '$.drawing_title'), '') AS title,
   coalesce(json_extract_string(o, '$.scale'), '') AS scale, coalesce(json_extract_string(o, '$.page.total'), '') AS page_total FROM (SELECT *, CAST({OBJECT} AS json) AS o FROM {duck('model')})"""
 
 
+ANSWER = "drawing_no string, drawing_title string, title string, scale string, page struct<total: string>"
+
+
+def with_object(rows):
+    """Adds object: the answer's JSON object, made once a row behind a generator."""
+    return rows.select("*", F.explode(F.array(jsonx.relaxed(F.col("raw")))).alias("object"))
+
+
 def parsed(spark, sf_dir):
-    return relation(spark, sf_dir, "model").select(*PAGE, "crop_ord", *model_fields())
+    rows = with_object(relation(spark, sf_dir, "model").select(*PAGE, "crop_ord", "raw")).withColumn("a", F.from_json("object", ANSWER))
+    rows = rows.select(*PAGE, "crop_ord", F.explode(F.array("a")).alias("a"))
+    text = lambda c: jsonx.truthy(F.col(f"a.{c}"))
+    return rows.select(*PAGE, "crop_ord", text("drawing_no").alias("drawing_no"), t.first_of(text("drawing_title"), text("title")).alias("title"), text("scale").alias("scale"), text("page.total").alias("page_total"))
 
 
 register("relaxed_json", PARSED)(parsed)

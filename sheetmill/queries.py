@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import box_queries, text_queries  # noqa: F401  (box_queries registers itself)
+from .plans import box_queries, record_queries, text_queries  # noqa: F401  (they register themselves)
 
 
 def queries() -> dict:

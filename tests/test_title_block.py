@@ -12,7 +12,7 @@ from sheetmill import queries
 from sheetmill.functions import geometry as g
 from sheetmill.functions import jsonx
 from sheetmill.functions import text as t
-from sheetmill.operators import classify, grouping, ranking
+from sheetmill.operators import classify, consensus, grouping, ranking
 from sheetmill.sources import files, recognisers, sinks
 
 SF = "/root/testdata/sf0.001"
@@ -201,12 +201,33 @@ def test_entry_runs(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-def test_whole_queries_see_what_the_subsets_leave_out(spark):
-    found = {n: queries.queries()[n](spark, "/root/testdata/sf0.001").collect() for s in ("pages_list", "vector_csv_vs_jsonl", "box_prompt", "csv_group_lines") for n in (s, f"{s}_whole")}
-    assert len(found["pages_list_whole"]) > len(found["pages_list"])
-    for name, size in (("vector_csv_vs_jsonl", lambda r: r.candidates), ("box_prompt", lambda r: len(r.prompt)), ("csv_group_lines", lambda r: r.n)):
-        part, whole = ({(r.pdf_path, r.page_index): size(r) for r in found[n]} for n in (name, f"{name}_whole"))
-        assert part.keys() == whole.keys() and all(part[k] <= whole[k] for k in part), name
-        assert sum(part.values()) < sum(whole.values()), name
-    records = found["vector_csv_vs_jsonl_whole"]
+def test_pages_with_and_without_candidates(spark):
+    records = queries.queries()["vector_csv_vs_jsonl"](spark, SF).collect()
     assert {r.in_csv for r in records} == {True, False} and all(r.in_csv == (r.candidates > 0) for r in records)
+
+
+def test_documents_without_a_box_require_none(spark):
+    rows = [("a", 0, 3, None, None, None, None), ("b", 0, 3, 0.1, 0.1, 0.2, 0.2), ("b", 1, 3, 0.1, 0.1, 0.2, 0.2), ("b", 2, 3, 0.7, 0.7, 0.2, 0.2)]
+    frame = spark.createDataFrame(rows, "pdf_path string, page_index int, page_count int, x double, y double, w double, h double")
+    out = {r.pdf_path: (r.boxes, r.hits, r.required, r.ok) for r in consensus.consensus(frame).collect()}
+    assert out == {"a": (0, 0, 0, False), "b": (3, 2, 2, True)}
+
+
+def test_letter_ids_of_any_length(spark):
+    def expected(n):
+        out = ""
+        n += 1
+        while n:
+            n, r = divmod(n - 1, 26)
+            out = chr(65 + r) + out
+        return out
+
+    ns = [0, 25, 26, 701, 702, 18277, 18278, 475253, 475254, 10**12]
+    out = spark.createDataFrame([(n,) for n in ns], "n long").select("n", t.letter_id(F.col("n")).alias("id")).collect()
+    assert {r.n: r.id for r in out} == {n: expected(n) for n in ns}
+
+
+def test_names_of_paths(spark):
+    paths = ["/a/b.c.pdf", "x.PDF", ".hidden", "a/b"]
+    assert [one(spark, t.stem, p) for p in paths] == ["b.c", "x", ".hidden", "b"]
+    assert [one(spark, t.base_name, p) for p in paths] == ["b.c.pdf", "x.PDF", ".hidden", "b"]
