@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +50,12 @@ def doc_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def parts(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows, so that Python objects are made of a few texts at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def chunks(ids: pa.Array, texts: pa.Array, limit: int = CHUNK_BYTES):
     """(ids, utf-8 bytes as uint8, offsets) of consecutive runs of rows with about ``limit`` bytes each.
 

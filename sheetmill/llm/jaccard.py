@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, Polynomial, checkpointed, chunks, doc_text, mix, mixed, partitions, table, word_bounds
+from .common import LOWER, Polynomial, checkpointed, chunks, doc_text, mix, mixed, partitions, parts, table, word_bounds
 from .components import components
 
 STEP = tuple(np.uint64(mixed(i) | 1) for i in range(1, 65))
@@ -59,7 +59,7 @@ SKETCH_BLOCK, SKETCH_WORDS = 2048, 1 << 21
 #: The most places of a sketch; of larger sets more differences fall together, which rules out fewer pairs and loses none.
 MOST_PLACES = 1 << 16
 #: Index entries of a bucket, about, and entries after which blocks are sent on.
-BUCKET_ENTRIES, FLUSH_ENTRIES = 150_000, 400_000
+BUCKET_ENTRIES, FLUSH_ENTRIES = 150_000, 200_000
 #: Rounds in which each member of a large meeting tries the nearest partner in another component before all are compared.
 ROUNDS = 3
 #: Places an element, and the most of a set, in the sketches of members that the first ones do not tell apart.
@@ -380,14 +380,14 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, t: Threshold) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, x = None, set()
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole)):
             keep = []
             a, b, text_a, text_b = (c.to_pylist() for c in batch.columns)
             for i in range(len(a)):
                 if a[i] != last:
                     last, x = a[i], shingles(text_a[i], width)
                 keep.append(similar(x, shingles(text_b[i], width), t))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_())), batch.column(1).filter(pa.array(keep, pa.bool_()))], names=["a", "b"])
 
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
