@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 from collections.abc import Callable, Iterator
@@ -50,6 +51,18 @@ def doc_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, giving back to the system what its worker no longer needs when a partition ends; workers live on for others."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:  # glibc alone has it
+            trim(0)
+
+    return wrapped
+
+
 def parts(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows, so that Python objects are made of a few texts at a time."""
     for at in range(0, batch.num_rows, rows):

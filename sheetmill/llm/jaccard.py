@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, Polynomial, checkpointed, chunks, doc_text, mix, mixed, partitions, parts, table, word_bounds
+from .common import LOWER, Polynomial, checkpointed, chunks, doc_text, lean, mix, mixed, partitions, parts, table, word_bounds
 from .components import components
 
 STEP = tuple(np.uint64(mixed(i) | 1) for i in range(1, 65))
@@ -217,7 +217,7 @@ def set_rows(rows: DataFrame, width: int) -> DataFrame:
                 a, b = prints(texts, hashes, sizes)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(sizes.astype(np.int64)), pa.array(a), pa.array(b), pa.array(sketches(texts, hashes, sizes), pa.binary())], names=["doc_id", "n_shingles", "print_a", "print_b", "sketch"])
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, print_a long, print_b long, sketch binary")
+    return rows.mapInArrow(lean(run), "doc_id long, n_shingles long, print_a long, print_b long, sketch binary")
 
 
 def entries(texts: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, chosen: np.ndarray, band_of: np.ndarray, bands: list[Band], t: Threshold) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -301,7 +301,7 @@ def index_blocks(rows: DataFrame, width: int, t: Threshold, bands: list[Band], b
         if held:
             yield flush()
 
-    return rows.mapInArrow(run, "bucket long, block binary")
+    return rows.mapInArrow(lean(run), "bucket long, block binary")
 
 
 MEETINGS = "signature long, a long, b long, role int, spare int, classes long"
@@ -392,7 +392,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, t: Threshold) -> Da
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(lean(run), "a long, b long")
 
 
 def near_by_sketch(pairs: DataFrame, named: DataFrame, t: Threshold) -> DataFrame:
@@ -412,7 +412,7 @@ def near_by_sketch(pairs: DataFrame, named: DataFrame, t: Threshold) -> DataFram
 
     for s in "ab":
         pairs = pairs.join(named.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}")), s)
-    return pairs.mapInArrow(run, "a long, b long")
+    return pairs.mapInArrow(lean(run), "a long, b long")
 
 
 def fine_sketches(texts: DataFrame, classes: DataFrame, width: int) -> DataFrame:
