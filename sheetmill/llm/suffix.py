@@ -268,6 +268,8 @@ def maximal_repeats(strings: list[bytes], length: int) -> Iterator[tuple[int, np
                 stack.append((value, left))
 
 
+#: Bytes of strings, about, in one suffix array; it takes some hundred bytes for each.
+ARRAY_BYTES = 1 << 19
 #: What a null doc_id counts as, the least number.
 NO_ID = -(1 << 63)
 SPANS = "part long, spans binary"
@@ -297,10 +299,11 @@ def removed_spans(contexts: DataFrame, length: int) -> DataFrame:
         several[1:] |= near
         several[:-1] |= near
         inner = np.flatnonzero(several)
-        # a few thousand strings at a time, never cutting an anchor's contexts apart
-        cut = 0
+        # ARRAY_BYTES of strings at a time, never cutting an anchor's contexts apart
+        cut, upto = 0, np.cumsum(head["size"][inner].astype(np.int64))
         while cut < len(inner):
-            end = min(cut + 4096, len(inner))
+            before = int(upto[cut - 1]) if cut else 0
+            end = max(cut + 1, int(np.searchsorted(upto, before + ARRAY_BYTES, side="right")))
             while end < len(inner) and head["hash"][inner[end]] == head["hash"][inner[end - 1]]:
                 end += 1
             mine = head[inner[cut:end]]
