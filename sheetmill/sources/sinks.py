@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,14 +21,19 @@ def filled_number(number: Column, candidates: Column) -> Column:
     return F.coalesce(filled(strip(F.coalesce(number, F.lit("")))), strip(F.get(candidates, 0)), F.lit(""))
 
 
-def write_jsonl(df: DataFrame, path: str, drop: tuple[str, ...] = ()) -> None:
+def in_order(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """The rows in order over all files, by one range exchange; as they come without any."""
+    return df.orderBy(*order) if order else df
+
+
+def write_jsonl(df: DataFrame, path: str, drop: tuple[str, ...] = (), order: tuple[str, ...] = ()) -> None:
     """One object a row with explicit nulls, overwriting; an empty table leaves an empty file set."""
-    df.drop(*drop).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    in_order(df, order).drop(*drop).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def write_csv(df: DataFrame, path: str, columns: tuple[str, ...] | None = None) -> None:
+def write_csv(df: DataFrame, path: str, columns: tuple[str, ...] | None = None, order: tuple[str, ...] = ()) -> None:
     """A projection with a header; nested columns as JSON text, null as an empty cell, quotes doubled."""
-    chosen = df.select(*(columns or df.columns))
+    chosen = in_order(df, order).select(*(columns or df.columns))
     nested = [f.name for f in chosen.schema if f.dataType.typeName() in ("struct", "array", "map")]
     flat = chosen.withColumns({n: F.coalesce(F.to_json(n), F.lit("null")) for n in nested})
     flat.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").option("nullValue", "").csv(path)
@@ -58,10 +65,7 @@ def write_overlays(overlays: DataFrame, draw) -> None:
     """Hands every page's rectangles to ``draw(pdf_path, page_index, rows)`` on the executors."""
 
     def pages(rows) -> None:
-        held: dict = {}
-        for r in rows:
-            held.setdefault((r["pdf_path"], r["page_index"]), []).append(r.asDict())
-        for (path, page), found in held.items():
-            draw(path, page, found)
+        for (path, page), found in groupby(rows, key=lambda r: (r["pdf_path"], r["page_index"])):
+            draw(path, page, [r.asDict() for r in found])
 
-    overlays.repartition("pdf_path", "page_index").foreachPartition(pages)
+    overlays.repartition("pdf_path", "page_index").sortWithinPartitions("pdf_path", "page_index").foreachPartition(pages)

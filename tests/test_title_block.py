@@ -231,3 +231,19 @@ def test_names_of_paths(spark):
     paths = ["/a/b.c.pdf", "x.PDF", ".hidden", "a/b"]
     assert [one(spark, t.stem, p) for p in paths] == ["b.c", "x", ".hidden", "b"]
     assert [one(spark, t.base_name, p) for p in paths] == ["b.c.pdf", "x.PDF", ".hidden", "b"]
+
+
+def test_ordered_files_and_overlays(spark, tmp_path):
+    rows = [(f"p{i % 3}", i % 5, i) for i in range(60)]
+    frame = spark.createDataFrame(rows, "pdf_path string, page_index int, n int").repartition(4)
+    sinks.write_jsonl(frame, str(tmp_path / "out"), drop=("n",), order=("pdf_path", "page_index", "n"))
+    text = [line for f in sorted(glob.glob(f"{tmp_path}/out/part-*")) for line in open(f, encoding="utf-8")]
+    assert text == sorted(text) and len(text) == 60
+    folder = str(tmp_path)
+
+    def draw(path, page, found):
+        with open(f"{folder}/{path}-{page}.drawn", "x", encoding="utf-8") as f:  # a page comes once
+            f.write(str(len(found)))
+
+    sinks.write_overlays(frame, draw)
+    assert [open(f, encoding="utf-8").read() for f in glob.glob(f"{folder}/*.drawn")] == ["4"] * 15
