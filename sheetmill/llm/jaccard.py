@@ -14,7 +14,7 @@ of passages that many documents share. Sets of sizes at which only equal sets ar
 
 Sets that are equal (128-bit fingerprints) form one class; the join runs over classes. Index entries travel in binary blocks
 by hash bucket, so a bucket is a bounded array. Where few classes meet, all pairs are candidates; where more meet, the
-pairs of those that have to probe there. Where very many meet, only pairs with one pivot (the class with the most
+pairs of those that have to probe there, compared by their sketches in the task where they meet. Where very many meet, only pairs with one pivot (the class with the most
 documents) are verified first; of classes that the links so far leave apart each then tries the nearest one apart from it,
 in a few rounds, and what is apart after that is compared in blocks of bounded size. So the pairs of a large group are never listed, no link between different components is lost, and no cap drops
 any.
@@ -50,8 +50,10 @@ STEP = tuple(np.uint64(mixed(i) | 1) for i in range(1, 65))
 PRINT_A, PRINT_B, PLACE, ELEMENT, SALT, PARITY = (np.uint64(mixed(1000 + i)) for i in range(6))
 #: Classes that may meet in one index entry before pairs with a pivot stand for all pairs.
 FEW = 6
-#: Classes that may meet for the pairs of a class that has to probe there to be listed.
+#: Classes that may meet for a class that has to probe there to be compared with all others.
 SOME = 64
+#: Members of such meetings, about, that one task compares at a time.
+BUCKET_MEMBERS = 4_000
 #: Classes of one block when the rest of such a meeting is compared.
 BLOCK = 256
 #: Classes of one block when such a meeting's sketches are compared, and 64-bit words of differences made at a time.
@@ -395,19 +397,28 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, t: Threshold) -> Da
     return joined.mapInArrow(lean(run), "a long, b long")
 
 
+def alike(n: np.ndarray, m: np.ndarray, a: list[bytes], b: list[bytes], t: Threshold) -> np.ndarray:
+    """Of each pair of sets, given their sizes and sketches, whether the sketches do not rule it out."""
+    keep = np.zeros(len(a), dtype=bool)
+    least = np.array([min(len(x), len(y)) for x, y in zip(a, b, strict=True)], dtype=np.int64)
+    for size in np.unique(least).tolist():
+        of_size = np.flatnonzero(least == size)
+        step = max(1, 8 * SKETCH_WORDS // size)
+        for i in range(0, len(of_size), step):
+            at = of_size[i : i + step]
+            x, y = (folded([p[j] for j in at.tolist()], size) for p in (a, b))
+            keep[at] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= t.gap(n[at], m[at])
+    return keep
+
+
 def near_by_sketch(pairs: DataFrame, named: DataFrame, t: Threshold) -> DataFrame:
     """The pairs (a, b) of nodes whose sketches do not rule them out; ``named``: (node, n, sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, dtype=bool)
             n = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
-            parts = [batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b")]
-            least = np.array([min(len(x), len(y)) for x, y in zip(*parts, strict=True)], dtype=np.int64)
-            for size in np.unique(least).tolist():
-                at = np.flatnonzero(least == size)
-                x, y = (folded([p[i] for i in at.tolist()], size) for p in parts)
-                keep[at] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= t.gap(n[0][at], n[1][at])
+            found = [batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b")]
+            keep = alike(*n, *found, t)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
 
     for s in "ab":
@@ -415,6 +426,35 @@ def near_by_sketch(pairs: DataFrame, named: DataFrame, t: Threshold) -> DataFram
     return pairs.mapInArrow(lean(run), "a long, b long")
 
 
+def near_in_meetings(some: DataFrame, sketches: DataFrame, t: Threshold) -> DataFrame:
+    """The pairs (a, b) of classes in one meeting, one of which probes there, that sizes and sketches do not rule out.
+
+    ``some``: (signature, node, n, probes) with at most SOME members a meeting; ``sketches``: (node, n, sketch). A task
+    takes the meetings of some buckets of bounded size; all their pairs are compared there, and only near ones become rows.
+    """
+
+    def run(part: pa.Table) -> pa.Table:
+        signature, n, probes = (part.column(c).to_numpy() for c in ("signature", "n", "probes"))
+        node, first, place = np.unique(part.column("node").to_numpy(), return_index=True, return_inverse=True)
+        order = np.argsort(signature, kind="stable")
+        cuts = np.flatnonzero(np.diff(signature[order])) + 1
+        codes = []
+        for member in np.split(order, cuts):
+            ask = member[probes[member]]
+            i, j = np.repeat(ask, len(member)), np.tile(member, len(ask))
+            fits = (place[i] != place[j]) & (t.num * np.maximum(n[i], n[j]) <= t.den * np.minimum(n[i], n[j]))
+            i, j = place[i[fits]], place[j[fits]]
+            codes.append(np.unique(np.minimum(i, j) * len(node) + np.maximum(i, j)))
+        x, y = np.divmod(np.unique(np.concatenate(codes)), len(node))
+        n, sketch = n[first], part.column("sketch").take(pa.array(first)).to_pylist()
+        keep = alike(n[x], n[y], [sketch[i] for i in x.tolist()], [sketch[i] for i in y.tolist()], t)
+        return pa.table({"a": pa.array(node[x[keep]], pa.int64()), "b": pa.array(node[y[keep]], pa.int64())})
+
+    buckets = max(partitions(some), some.count() // BUCKET_MEMBERS)
+    rows = some.select("signature", "node", "n", "probes", F.pmod(F.xxhash64("signature"), F.lit(buckets)).alias("bucket")).join(sketches.select("node", "sketch"), "node")
+    return rows.groupBy("bucket").applyInArrow(run, "a long, b long")
+
+
 def fine_sketches(texts: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """(node, n, sketch): sketches with more places of the classes whose nodes' rows (doc_id, text) are given."""
 
@@ -589,12 +629,10 @@ def similar_components(df: DataFrame, width: int = 5, num: int = 80, den: int =
     hot = hot.join(hot.groupBy("signature").agg(F.max("probes").alias("needed")).filter("needed"), "signature")
     hot = checkpointed(hot.join(named, F.col("a") == F.col("p")).select("signature", "node", "copies", "n", "probes", "classes"))
     some, hot = hot.filter(F.col("classes") <= SOME), hot.filter(F.col("classes") > SOME)
-    other = some.select("signature", F.col("node").alias("b"), F.col("n").alias("m"))
-    met_some = some.filter("probes").join(other, "signature").filter(f"{t.num} * greatest(n, m) <= {t.den} * least(n, m)").select(F.col("node").alias("a"), "b")
     pivots = hot.groupBy("signature").agg(F.max(F.struct("copies", F.negative("node").alias("node"))).alias("pivot"))
     star = hot.join(pivots, "signature").select(F.col("node").alias("a"), F.negative("pivot.node").alias("b"))
-    pairs = few.unionAll(met_some).unionAll(star).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = checkpointed(near_by_sketch(pairs, sketched, t))
+    pairs = few.unionAll(star).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = checkpointed(near_by_sketch(pairs, sketched, t).unionAll(near_in_meetings(some, sketched, t)).distinct())
     links = checkpointed(verified(pairs, texts_of(rows, pairs, ("a", "b")), width, t))
     joined = components(links)
     sketch, apart = sketched, hot
