@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, checkpointed_small
 
 #: Links that one task unites: about 100 bytes each there.
 FEW_LINKS = 200_000
@@ -62,12 +62,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of every node of a link; component is the smallest node that links reach."""
     ends = links.select(F.col(a).cast("long").alias("x"), F.col(b).cast("long").alias("y")).filter("x IS NOT NULL AND y IS NOT NULL AND x <> y")
     found = ends.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-    found, before = checkpointed(found), None
+    found, before = checkpointed_small(found), None
     while True:
         now = found.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now[0] <= FEW_LINKS:
             return united(found)
         if now == before:
             break
-        found, before = checkpointed(small_star(large_star(found))), now
+        found, before = checkpointed_small(small_star(large_star(found))), now
     return found.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(found.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

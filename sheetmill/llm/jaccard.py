@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, Polynomial, checkpointed, chunks, doc_text, lean, mix, mixed, partitions, parts, table, word_bounds
+from .common import LOWER, Polynomial, checkpointed, checkpointed_small, chunks, doc_text, lean, mix, mixed, partitions, parts, table, word_bounds
 from .components import components
 
 STEP = tuple(np.uint64(mixed(i) | 1) for i in range(1, 65))
@@ -627,21 +627,21 @@ def similar_components(df: DataFrame, width: int = 5, num: int = 80, den: int =
     few = few.join(named.select(F.col("p").alias("a"), F.col("node").alias("x")), "a").join(named.select(F.col("p").alias("b"), F.col("node").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     hot = allocated(met.filter("classes > 0"))
     hot = hot.join(hot.groupBy("signature").agg(F.max("probes").alias("needed")).filter("needed"), "signature")
-    hot = checkpointed(hot.join(named, F.col("a") == F.col("p")).select("signature", "node", "copies", "n", "probes", "classes"))
+    hot = checkpointed_small(hot.join(named, F.col("a") == F.col("p")).select("signature", "node", "copies", "n", "probes", "classes"))
     some, hot = hot.filter(F.col("classes") <= SOME), hot.filter(F.col("classes") > SOME)
     pivots = hot.groupBy("signature").agg(F.max(F.struct("copies", F.negative("node").alias("node"))).alias("pivot"))
     star = hot.join(pivots, "signature").select(F.col("node").alias("a"), F.negative("pivot.node").alias("b"))
     pairs = few.unionAll(star).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = checkpointed(near_by_sketch(pairs, sketched, t).unionAll(near_in_meetings(some, sketched, t)).distinct())
-    links = checkpointed(verified(pairs, texts_of(rows, pairs, ("a", "b")), width, t))
+    pairs = checkpointed_small(near_by_sketch(pairs, sketched, t).unionAll(near_in_meetings(some, sketched, t)).distinct())
+    links = checkpointed_small(verified(pairs, texts_of(rows, pairs, ("a", "b")), width, t))
     joined = components(links)
     sketch, apart = sketched, hot
     for i in range(ROUNDS + 2) if not hot.isEmpty() else ():
         apart = apart.select("signature", "node", "probes").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
         parts = apart.groupBy("signature", "component").agg(F.count("*").alias("n"))
         several = parts.groupBy("signature").agg(F.count("*").alias("parts")).filter("parts > 1")
-        apart = checkpointed(apart.join(several, "signature").select("signature", "node", "component", "probes"))
-        left = checkpointed(still_near(apart, sketch, t))
+        apart = checkpointed_small(apart.join(several, "signature").select("signature", "node", "component", "probes"))
+        left = checkpointed_small(still_near(apart, sketch, t))
         if left.isEmpty():
             break
         apart = apart.join(left.select("signature", "node").distinct(), ["signature", "node"])
@@ -649,15 +649,15 @@ def similar_components(df: DataFrame, width: int = 5, num: int = 80, den: int =
             sketch = checkpointed(fine_sketches(texts_of(rows, left, ("node",)), classes, width))
             continue
         some = left.filter("partner IS NOT NULL").select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct()
-        some = checkpointed(some.join(pairs, ["a", "b"], "left_anti"))
+        some = checkpointed_small(some.join(pairs, ["a", "b"], "left_anti"))
         last = i > ROUNDS or some.isEmpty()
         if last:
-            apart = checkpointed(once_each(apart))
+            apart = checkpointed_small(once_each(apart))
             more = rest_links(apart, texts_of(rows, apart, ("node",)), width, t)
         else:
             pairs = pairs.unionAll(some)
             more = verified(some, texts_of(rows, some, ("a", "b")), width, t)
-        links = links.unionAll(checkpointed(more))
+        links = links.unionAll(checkpointed_small(more))
         joined = components(links)
         if last:
             break
