@@ -8,10 +8,15 @@ earlier; other shorter lines stay. Lines are judged on the input.
 2. A class of length l is cut into threshold + 1 segments; of two lines within the threshold one segment of the shorter is
    in the longer unchanged, at a place that the lengths bound. Each class is indexed by the hashes of its segments and
    probes, for each length from l - threshold to l, the substrings that can match a segment of that length. Keys that only
-   one class has are dropped before the join.
+   one class has are dropped before the join. With a threshold of one, keys of more than GROUP entries are not joined:
+   their classes go by step 4, so the join grows with the entries. With a larger threshold all keys are joined.
 3. Candidates are verified by the edit distance within a diagonal band of 2 * threshold + 1 cells, a bit for each cell, one
    step of bit operations a character: first over a few characters after the common prefix, which rules out most, then over
    all between the common prefix and the common suffix.
+4. Two lines within one edit that share a key of a large group are both in it, so the classes of all such keys are compared
+   with each other by what a line is without one character: with its place, lines that differ there alone share it; without,
+   a line shares it with those that have one character more. These 128-bit hashes are made of running exclusive ors over the
+   line's characters, one row a character, and each gives the earliest place, so no pairs are made.
 
 Defined cases: null text is empty and stays null; empty and blank lines count as lines; null doc_ids come before all others,
 rows with one doc_id in the order of a hash of their texts, and equal rows share their places, so their lines stay or go
@@ -20,6 +25,8 @@ together; an empty table gives no rows; other columns, whatever their names, are
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +36,8 @@ THRESHOLD, MIN_CHARS = 1, 20
 #: Hash buckets by which lines that are in no candidate pair are left out before their text is shuffled again; the set of
 #: buckets is broadcast and has this many rows at most.
 BUCKETS = 1 << 18
+#: Entries of a key that are joined with each other; those of larger keys are compared by deletions.
+GROUP = 8
 KEY, PLACE = ("h1", "h2", "chars"), ("doc", "copy", "at")
 
 
@@ -143,20 +152,53 @@ def classes(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*KEY).agg(F.min(F.struct(*PLACE)).alias("first"), F.first("line").alias("line"))
 
 
-def near_pairs(rows: DataFrame, threshold: int, min_chars: int) -> DataFrame:
-    """(a_*, b_*) of every two classes of lines within the threshold, each pair once, a being the shorter or smaller."""
+def shared_keys(rows: DataFrame, threshold: int, min_chars: int) -> DataFrame:
+    """(h1, h2, chars, key, probe, n) of every entry and probe whose key n > 1 of them have."""
     entries = classes(rows).select(*KEY, F.explode(F.array(*keys(threshold, min_chars))).alias("e"))
     entries = entries.select(*KEY, "e.key", "e.probe").filter("key IS NOT NULL")
-    shared = entries.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1").drop("n")
-    shared = checkpointed(shared)
+    return entries.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
+
+
+def of_classes(rows: DataFrame, *hashes: DataFrame) -> DataFrame:
+    """``classes`` of the rows in the buckets of these hashes (h1)."""
+    bucket = lambda c: F.pmod(F.col(c), F.lit(BUCKETS))
+    wanted = reduce(DataFrame.unionAll, [h.select(bucket("h1").alias("bucket")) for h in hashes]).distinct()
+    return classes(rows.join(F.broadcast(wanted), bucket("h1") == F.col("bucket"), "left_semi"))
+
+
+def near_places(found: DataFrame) -> DataFrame:
+    """(h1, h2, chars, place): for classes (h1, h2, chars, line, first) the earliest place of another within one edit.
+
+    u is a character's hash at its place, v at the place before: the hash of a line without character i is that of all v,
+    but of u for the characters before i, so it is the xor of all v, of v at i and of u and v before i.
+    """
+    hashed = lambda c, i, seed: F.xxhash64(c, i, F.lit(seed))
+    xor = lambda less, seed: F.aggregate(F.transform("c", lambda c, i: hashed(c, i - less, seed)), F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y))
+    rows = found.select(*KEY, "first", F.slice(F.split("line", ""), F.lit(1), F.col("chars")).alias("c"))
+    for k in (1, 2):
+        rows = rows.withColumn(f"u{k}", xor(0, k)).withColumn(f"v{k}", xor(1, k))
+    whole = rows.select(*KEY, "first", F.lit("whole").alias("kind"), F.col("chars").alias("of"), F.lit(-1).alias("at"), "u1", "u2")
+    each = rows.select(*KEY, "first", "u1", "u2", "v1", "v2", F.posexplode("c").alias("i", "c"))
+    before = Window.partitionBy(*KEY).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    for k in (1, 2):
+        u, v = hashed(F.col("c"), F.col("i"), k), hashed(F.col("c"), F.col("i") - 1, k)
+        each = each.withColumn(f"s{k}", F.col(f"u{k}").bitwiseXOR(u)).withColumn(f"d{k}", F.col(f"v{k}").bitwiseXOR(v).bitwiseXOR(F.coalesce(F.bit_xor(u.bitwiseXOR(v)).over(before), F.lit(0).cast("long"))))
+    same = each.select(*KEY, "first", F.lit("same").alias("kind"), F.col("chars").alias("of"), F.col("i").alias("at"), "s1", "s2")
+    less = each.select(*KEY, "first", F.lit("less").alias("kind"), (F.col("chars") - 1).alias("of"), F.lit(-1).alias("at"), "d1", "d2")
+    together = Window.partitionBy("of", "at", "u1", "u2")
+    least = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("first"))).over(together)
+    place = F.when(F.col("kind") == "same", least("same")).when(F.col("kind") == "whole", least("less")).otherwise(least("whole"))
+    return whole.unionAll(same).unionAll(less).select(*KEY, place.alias("place")).filter("place IS NOT NULL").groupBy(*KEY).agg(F.min("place").alias("place"))
+
+
+def near_pairs(rows: DataFrame, shared: DataFrame, threshold: int) -> DataFrame:
+    """(a_*, b_*) of every two classes that share a key and are within the threshold, each pair once, a being the shorter or smaller."""
     a = shared.filter("NOT probe").select("key", *(F.col(k).alias(f"a_{k}") for k in KEY))
     b = shared.select("key", "probe", *(F.col(k).alias(f"b_{k}") for k in KEY))
     order = F.expr("b_chars > a_chars OR (b_chars = a_chars AND (b_h1, b_h2) > (a_h1, a_h2))") if threshold < 2 else F.expr("b_chars > a_chars OR (b_chars = a_chars AND (probe OR (b_h1, b_h2) > (a_h1, a_h2)) AND NOT (a_h1 = b_h1 AND a_h2 = b_h2))")
     pairs = a.join(b, "key").filter(order).filter(F.expr(f"b_chars - a_chars <= {threshold}"))
     pairs = checkpointed(pairs.select(*(f"{s}_{k}" for s in "ab" for k in KEY)).distinct())
-    bucket = lambda c: F.pmod(F.col(c), F.lit(BUCKETS))
-    wanted = pairs.select(bucket("a_h1").alias("bucket")).unionAll(pairs.select(bucket("b_h1").alias("bucket"))).distinct()
-    found = classes(rows.join(F.broadcast(wanted), bucket("h1") == F.col("bucket"), "left_semi"))
+    found = of_classes(rows, *(pairs.select(F.col(f"{s}_h1").alias("h1")) for s in "ab"))
     for s in "ab":
         side = found.select(*(F.col(k).alias(f"{s}_{k}") for k in KEY), F.col("line").alias(f"{s}_line"), F.col("first").alias(f"{s}_first"))
         pairs = pairs.join(side, [f"{s}_{k}" for k in KEY])
@@ -173,9 +215,14 @@ def earliest(rows: DataFrame, threshold: int, min_chars: int, short_copies: bool
     """(h1, h2, chars, earliest): the earliest place of every class or of one within the threshold."""
     own = classes(rows.filter(judged(min_chars, short_copies))).select(*KEY, F.col("first").alias("place"))
     if threshold > 0:
-        pairs = checkpointed(near_pairs(rows.filter(F.col("chars") >= min_chars), threshold, min_chars))
+        judged_near = rows.filter(F.col("chars") >= min_chars)
+        shared = checkpointed(shared_keys(judged_near, threshold, min_chars))
+        few = F.col("n") <= GROUP if threshold == 1 else F.lit(True)
+        pairs = checkpointed(near_pairs(judged_near, shared.filter(few), threshold))
         for s, o in ("ab", "ba"):
             own = own.unionAll(pairs.select(*(F.col(f"{s}_{k}").alias(k) for k in KEY), F.col(f"{o}_first").alias("place")))
+        many = shared.filter(~few).select(*KEY).distinct()
+        own = own.unionAll(near_places(of_classes(judged_near, many).join(many, list(KEY), "left_semi")))
     return own.groupBy(*KEY).agg(F.min("place").alias("earliest"))
 
 

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sheetmill.llm import components, jaccard, lines, neighbours, suffix
 
@@ -161,6 +162,25 @@ def test_near_copies_of_very_long_lines(spark):
     assert {r.doc_id: r.first_doc for r in lines.removed_lines(frame, 1, 20).collect()} == {2: 1, 3: 1}
 
 
+def test_lines_of_large_groups_make_no_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    base = "".join(rng.choice("abcdé😀 ") for _ in range(40))
+    texts = [base, *("".join(changed(rng, base, rng.choice([1, 1, 2, 3]), "abé😀")) for _ in range(150)), *(base[:20] + f"{i:020d}" for i in range(100, 160))]
+    rng.shuffle(texts)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = {}
+    for i, x in enumerate(texts):
+        first = next((j for j, y in enumerate(texts[:i]) if len(x) >= 20 <= len(y) and abs(len(x) - len(y)) <= 1 and edits(x, y) <= 1), None)
+        if first is not None:
+            expected[i] = first
+    joined = []
+    plain = lines.near_pairs
+    monkeypatch.setattr(lines, "near_pairs", lambda rows, shared, threshold: joined.append(shared.groupBy("key").count().agg(F.max("count")).first()[0]) or plain(rows, shared, threshold))
+    out = {r.doc_id: r.first_doc for r in lines.removed_lines(frame, 1, 20).collect()}
+    assert out == expected and len(out) > 100
+    assert (joined[0] or 0) <= lines.GROUP
+
+
 def test_repeated_bytes_equal_brute_force(spark):
     rng = random.Random(4)
     letters = "abcdefgh é"
