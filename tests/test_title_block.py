@@ -258,7 +258,7 @@ def test_ordered_files_and_overlays(spark, tmp_path):
     assert [open(f, encoding="utf-8").read() for f in glob.glob(f"{folder}/*.drawn")] == ["4"] * 15
 
 
-SHARED_PATHS = ("crop_merge", "fast_classify", "iou_pairs")
+SHARED_PATHS = ("crop_merge", "fast_classify", "fast_merge", "iou_pairs")
 
 
 @pytest.mark.parametrize("name", SHARED_PATHS)
