@@ -13,10 +13,12 @@ earlier; other shorter lines stay. Lines are judged on the input.
 3. Candidates are verified by the edit distance within a diagonal band of 2 * threshold + 1 cells, a bit for each cell, one
    step of bit operations a character: first over a few characters after the common prefix, which rules out most, then over
    all between the common prefix and the common suffix.
-4. Two lines within one edit that share a key of a large group are both in it, so the classes of all such keys are compared
-   with each other by what a line is without one character: with its place, lines that differ there alone share it; without,
-   a line shares it with those that have one character more. These 128-bit hashes are made of running exclusive ors over the
-   line's characters, one row a character, and each gives the earliest place, so no pairs are made.
+4. Lines that share such a key differ, if they are within one edit, in the part that the key does not cover. That part is cut
+   into PIECES, and for each piece the key is joined by the hashes of all others: one piece stays open, as in step 2. Keys
+   that only one entry has are dropped, those of up to GROUP entries are joined (steps 2 and 3), larger ones are cut again,
+   until one character is open (of the longer line two): what shares a key then is within one edit, and the earliest place
+   of a group is an aggregate. Entries are only cut while they share their key, so their number grows with the lines and
+   the logarithm of their length, and no pairs of a large group are made.
 
 Defined cases: null text is empty and stays null; empty and blank lines count as lines; null doc_ids come before all others,
 rows with one doc_id in the order of a hash of their texts, and equal rows share their places, so their lines stay or go
@@ -36,8 +38,8 @@ THRESHOLD, MIN_CHARS = 1, 20
 #: Hash buckets by which lines that are in no candidate pair are left out before their text is shuffled again; the set of
 #: buckets is broadcast and has this many rows at most.
 BUCKETS = 1 << 18
-#: Entries of a key that are joined with each other; those of larger keys are compared by deletions.
-GROUP = 8
+#: Entries of a key that are joined with each other; larger keys are cut further, into so many pieces at a time.
+GROUP, PIECES = 8, 4
 KEY, PLACE = ("h1", "h2", "chars"), ("doc", "copy", "at")
 
 
@@ -45,7 +47,7 @@ def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """(doc, copy, at, line, chars, h1, h2) of every line; copy tells rows with one doc_id apart."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("copy"), F.posexplode(F.split(text, "\n", -1)).alias("at", "line"))
-    return rows.withColumns({"chars": F.length("line"), "h1": F.xxhash64("line"), "h2": F.xxhash64("line", F.lit(1))})
+    return rows.withColumns({"chars": F.length("line"), "h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
 
 
 def segment(length: Column, i: int, m: int) -> tuple[Column, Column]:
@@ -55,13 +57,13 @@ def segment(length: Column, i: int, m: int) -> tuple[Column, Column]:
 
 
 def keys(threshold: int, min_chars: int) -> list[Column]:
-    """struct(key, probe) for each index entry (probe false) and each probe of a line."""
+    """struct(key, probe, segment) for each index entry (probe false) and each probe of a line."""
     line, chars = F.col("line"), F.col("chars")
     out = []
 
     def entry(probe: bool, length: Column, tag: int, *parts: Column) -> None:
         key = F.xxhash64(length, F.lit(tag), *parts)
-        out.append(F.struct(F.when(length >= min_chars, key).alias("key"), F.lit(probe).alias("probe")))
+        out.append(F.struct(F.when(length >= min_chars, key).alias("key"), F.lit(probe).alias("probe"), F.lit(tag).alias("segment")))
 
     for less in range(threshold + 1):
         length = chars - less
@@ -153,9 +155,9 @@ def classes(rows: DataFrame) -> DataFrame:
 
 
 def shared_keys(rows: DataFrame, threshold: int, min_chars: int) -> DataFrame:
-    """(h1, h2, chars, key, probe, n) of every entry and probe whose key n > 1 of them have."""
+    """(h1, h2, chars, key, probe, segment, n) of every entry and probe whose key n > 1 of them have."""
     entries = classes(rows).select(*KEY, F.explode(F.array(*keys(threshold, min_chars))).alias("e"))
-    entries = entries.select(*KEY, "e.key", "e.probe").filter("key IS NOT NULL")
+    entries = entries.select(*KEY, "e.*").filter("key IS NOT NULL")
     return entries.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
 
 
@@ -166,29 +168,58 @@ def of_classes(rows: DataFrame, *hashes: DataFrame) -> DataFrame:
     return classes(rows.join(F.broadcast(wanted), bucket("h1") == F.col("bucket"), "left_semi"))
 
 
-def near_places(found: DataFrame) -> DataFrame:
-    """(h1, h2, chars, place): for classes (h1, h2, chars, line, first) the earliest place of another within one edit.
+def opened(found: DataFrame) -> DataFrame:
+    """(h1, h2, chars, first, probe, key, key2, open) of entries (h1, h2, chars, key, probe, segment, line, first) at a threshold of one.
 
-    u is a character's hash at its place, v at the place before: the hash of a line without character i is that of all v,
-    but of u for the characters before i, so it is the xor of all v, of v at i and of u and v before i.
+    open is the part that the key does not cover, one character longer in a probe; key2 is a second hash of what it covers.
     """
-    hashed = lambda c, i, seed: F.xxhash64(c, i, F.lit(seed))
-    xor = lambda less, seed: F.aggregate(F.transform("c", lambda c, i: hashed(c, i - less, seed)), F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y))
-    rows = found.select(*KEY, "first", F.slice(F.split("line", ""), F.lit(1), F.col("chars")).alias("c"))
-    for k in (1, 2):
-        rows = rows.withColumn(f"u{k}", xor(0, k)).withColumn(f"v{k}", xor(1, k))
-    whole = rows.select(*KEY, "first", F.lit("whole").alias("kind"), F.col("chars").alias("of"), F.lit(-1).alias("at"), "u1", "u2")
-    each = rows.select(*KEY, "first", "u1", "u2", "v1", "v2", F.posexplode("c").alias("i", "c"))
-    before = Window.partitionBy(*KEY).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    for k in (1, 2):
-        u, v = hashed(F.col("c"), F.col("i"), k), hashed(F.col("c"), F.col("i") - 1, k)
-        each = each.withColumn(f"s{k}", F.col(f"u{k}").bitwiseXOR(u)).withColumn(f"d{k}", F.col(f"v{k}").bitwiseXOR(v).bitwiseXOR(F.coalesce(F.bit_xor(u.bitwiseXOR(v)).over(before), F.lit(0).cast("long"))))
-    same = each.select(*KEY, "first", F.lit("same").alias("kind"), F.col("chars").alias("of"), F.col("i").alias("at"), "s1", "s2")
-    less = each.select(*KEY, "first", F.lit("less").alias("kind"), (F.col("chars") - 1).alias("of"), F.lit(-1).alias("at"), "d1", "d2")
-    together = Window.partitionBy("of", "at", "u1", "u2")
-    least = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("first"))).over(together)
-    place = F.when(F.col("kind") == "same", least("same")).when(F.col("kind") == "whole", least("less")).otherwise(least("whole"))
-    return whole.unionAll(same).unionAll(less).select(*KEY, place.alias("place")).filter("place IS NOT NULL").groupBy(*KEY).agg(F.min("place").alias("place"))
+    more = F.col("probe").cast("int")
+    half = F.floor((F.col("chars") - more) / 2).cast("int")
+    head = F.col("segment") == 0
+    rest = F.when(head, F.substring("line", half + 1, F.col("chars"))).otherwise(F.substring("line", F.lit(1), half + more))
+    covered = F.when(head, F.substring("line", F.lit(1), half)).otherwise(F.substring("line", half + more + 1, F.col("chars")))
+    return found.select(*KEY, "first", "probe", "key", F.xxhash64(F.lit(1), covered).alias("key2"), rest.alias("open"))
+
+
+def cut(rows: DataFrame) -> DataFrame:
+    """``opened`` rows whose keys cover all pieces of the open part but one, of keys that an entry and another line have; n counts the key's rows."""
+    more = F.col("probe").cast("int")
+    width = F.length("open") - more
+    edge = lambda i: F.floor(width * i / PIECES).cast("int")
+
+    def piece(i: int) -> Column:
+        start, end = edge(i), edge(i + 1)
+        covered = (F.lit(i), F.substring("open", F.lit(1), start), F.substring("open", end + more + 1, width - end))
+        child = F.struct(F.xxhash64("key", *covered).alias("key"), F.xxhash64("key2", *covered).alias("key2"), F.substring("open", start + 1, end - start + more).alias("open"))
+        return F.when(end > start, child)
+
+    parts = rows.select(*KEY, "first", "probe", F.explode(F.filter(F.array(*map(piece, range(PIECES))), lambda x: x.isNotNull())).alias("p")).select(*KEY, "first", "probe", "p.*")
+    same = Window.partitionBy("key", "key2")
+    counted = parts.withColumns({"n": F.count("*").over(same), "entries": F.count_if(~F.col("probe")).over(same)})
+    return counted.filter("n > 1 AND entries > 0").drop("entries")
+
+
+def near_places(rows: DataFrame) -> DataFrame:
+    """(h1, h2, chars, place) of ``cut`` rows with one open character: the earliest place in their groups of a line within one edit."""
+    chars = F.when(F.col("probe"), F.array_distinct(F.split("open", "", 2))).otherwise(F.array("open"))
+    each = rows.select(*KEY, "first", "probe", "key", "key2", F.explode(chars).alias("c"))
+    least = lambda probe, *of: F.min(F.when(F.col("probe") == probe, F.col("first"))).over(Window.partitionBy("key", "key2", *of))
+    place = F.when(F.col("probe"), least(False, "c")).otherwise(F.least(least(False), least(True, "c")))
+    return each.select(*KEY, place.alias("place")).filter("place IS NOT NULL").groupBy(*KEY).agg(F.min("place").alias("place"))
+
+
+def divided(rows: DataFrame, large: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+    """(entries to join, ``near_places``) of the entries (h1, h2, chars, key, probe, segment) of large keys."""
+    few, places = [], []
+    left = checkpointed(opened(of_classes(rows, large).join(large, list(KEY))))
+    while not left.isEmpty():
+        parts = checkpointed(cut(left))
+        few.append(parts.filter(F.col("n") <= GROUP).select(*KEY, "key", "probe"))
+        many = parts.filter(F.col("n") > GROUP).drop("n")
+        last = F.length("open") - F.col("probe").cast("int") == 1
+        places.append(near_places(many.filter(last)))
+        left = many.filter(~last)
+    return few, places
 
 
 def near_pairs(rows: DataFrame, shared: DataFrame, threshold: int) -> DataFrame:
@@ -218,11 +249,12 @@ def earliest(rows: DataFrame, threshold: int, min_chars: int, short_copies: bool
         judged_near = rows.filter(F.col("chars") >= min_chars)
         shared = checkpointed(shared_keys(judged_near, threshold, min_chars))
         few = F.col("n") <= GROUP if threshold == 1 else F.lit(True)
-        pairs = checkpointed(near_pairs(judged_near, shared.filter(few), threshold))
+        small, places = divided(judged_near, shared.filter(~few).drop("n")) if threshold == 1 else ([], [])
+        small = reduce(DataFrame.unionAll, small, shared.filter(few).select(*KEY, "key", "probe"))
+        pairs = checkpointed(near_pairs(judged_near, small, threshold))
         for s, o in ("ab", "ba"):
             own = own.unionAll(pairs.select(*(F.col(f"{s}_{k}").alias(k) for k in KEY), F.col(f"{o}_first").alias("place")))
-        many = shared.filter(~few).select(*KEY).distinct()
-        own = own.unionAll(near_places(of_classes(judged_near, many).join(many, list(KEY), "left_semi")))
+        own = reduce(DataFrame.unionAll, places, own)
     return own.groupBy(*KEY).agg(F.min("place").alias("earliest"))
 
 

@@ -181,6 +181,31 @@ def test_lines_of_large_groups_make_no_pairs(spark, monkeypatch):
     assert (joined[0] or 0) <= lines.GROUP
 
 
+def generated(plan):
+    """Rows that the generators of an executed plan made."""
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        return generated(plan.executedPlan())
+    if "QueryStage" in name:
+        return generated(plan.plan())
+    own = plan.metrics().apply("numOutputRows").value() if name.startswith("Generate") else 0
+    return own + sum(generated(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_lines_of_large_groups_make_no_row_a_character(spark, monkeypatch):
+    rng = random.Random(9)
+    base = "".join(rng.choice("abcdé ") for _ in range(600))
+    texts = [base[:300] + "".join(rng.choice("abcdé ") for _ in range(300)) for _ in range(100)] + [base[:500] + f"{i:02d}" + base[502:] for i in range(0, 100, 3)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    expected = {i: next(j for j, y in enumerate(texts) if j >= 100 and edits(x[498:504], y[498:504]) <= 1) for i, x in enumerate(texts) if i >= 100}
+    made = []
+    plain = lines.cut
+    monkeypatch.setattr(lines, "cut", lambda rows: made.append(lines.PIECES * rows.count()) or plain(rows))
+    out = lines.removed_lines(frame, 1, 20)
+    assert {r.doc_id: r.first_doc for r in out.collect()} == {i: j for i, j in expected.items() if i != j}
+    assert generated(out._jdf.queryExecution().executedPlan()) + sum(made) <= 40 * len(texts)
+
+
 def test_repeated_bytes_equal_brute_force(spark):
     rng = random.Random(4)
     letters = "abcdefgh é"
