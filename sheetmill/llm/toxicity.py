@@ -18,10 +18,11 @@ among them: the plain comparison) and the logistic curve that turns the differen
 rows that the counts did not see.
 
 The counts cover every labelled row outside the held-out fold but the quarter for the curve, and grow with them; they are
-aggregated, smoothed and compared in Spark. The driver and the workers get the model alone: an expression's difference for
-each of ``SLOTS`` slices of the hash range, that of the most frequent expression there (others are left to their start's),
-so at most 12 * SLOTS bytes twice, whatever the input. The curve sees at most ``rows_per_class`` rows of each class, those
-with the smallest hash of doc_id. All documents are scored, whole.
+aggregated, smoothed and compared in Spark. The driver and the workers get the model alone: the differences of all expressions
+and starts by their hashes, in broadcast parts of at most ``SLOTS``. A worker with more than one part reads them one after
+another, once for the unknown words of TEXT_CHARS characters of texts, so what it holds, 12 * SLOTS bytes at a time, does not
+depend on the input. The curve sees at most ``rows_per_class`` rows of each class, those with the smallest hash of doc_id.
+All documents are scored, whole.
 
 Defined cases: null or empty text has difference 0 and gets the curve's value there; with no labelled rows of a class every
 score is the share of toxic rows (0 if there are none); null labels and null doc_ids are not learnt from, rows with null
@@ -37,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,8 +52,8 @@ MARGINS, BETTER = (0.0, 1.0, 2.0, 3.0, 4.0, 5.0), 0.003
 #: Characters of an expression, the last one included.
 ORDER = 6
 START, STOP = "\x02" * (ORDER - 1), "\x03"
-#: Slices of the hash range, each with one expression of the model; a power of two.
-SLOTS = 1 << 21
+#: Expressions of a part of the model, and slices of the hash range (2^SLICE_BITS) of which parts are made, one at least.
+SLOTS, SLICE_BITS = 1 << 21, 12
 #: Characters of a word beyond which it is scored without being kept for the next time, and how many are kept.
 KEPT_WORD, KEPT_WORDS = 40, 100_000
 #: Hash buckets by which unlabelled documents are left out before texts are shuffled: at most so many broadcast rows.
@@ -151,7 +153,7 @@ def shared_backoff(kinds: DataFrame, length: int, d: float) -> DataFrame:
 
 
 def differences(counts: DataFrame, d: float = DISCOUNT, m: float = STRENGTH) -> tuple[DataFrame, DataFrame]:
-    """(g, n, r): log P_1 - log P_0 of every expression seen; (g, n, r): of any other one after the start g."""
+    """(g, r): log P_1 - log P_0 of every expression seen; (g, r): of any other one after the start g."""
     start = F.substring("g", 1, ORDER - 1).alias("h")
     starts = counts.groupBy(start).agg(*(F.sum(f"n{c}").alias(f"t{c}") for c in (0, 1)), *(F.count_if(F.col(f"n{c}") > 0).alias(f"k{c}") for c in (0, 1)), F.count("*").alias("k"))
     shared = shared_backoff(counts.select("g"), ORDER, d).select(F.col("g").alias("e"), "s")
@@ -162,55 +164,89 @@ def differences(counts: DataFrame, d: float = DISCOUNT, m: float = STRENGTH) ->
     seen = {c: (F.greatest(F.col(f"n{c}") - d, F.lit(0.0)) + left[c] * F.col("p")) / (F.col(f"t{c}") + m) for c in (0, 1)}
     other = {c: left[c] / (F.col(f"t{c}") + m) for c in (0, 1)}
     return (
-        rows.select("g", (F.col("n0") + F.col("n1")).alias("n"), (F.log(seen[1]) - F.log(seen[0])).alias("r")),
-        starts.select(F.col("h").alias("g"), (F.col("t0") + F.col("t1")).alias("n"), (F.log(other[1]) - F.log(other[0])).alias("r")),
+        rows.select("g", (F.log(seen[1]) - F.log(seen[0])).alias("r")),
+        starts.select(F.col("h").alias("g"), (F.log(other[1]) - F.log(other[0])).alias("r")),
     )
 
 
-def slotted(rows: DataFrame, slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes in order, differences) of rows (g, n, r), of each slice of the hash range the most frequent one."""
+class Part:
+    """Hashes in order and the differences of their expressions, of one range of hashes."""
+
+    def __init__(self, given: Broadcast, size: int) -> None:
+        self.given, self.size = given, size
+
+    def __len__(self) -> int:
+        return self.size
+
+    def read(self, keep: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, differences); a worker holds on to them only if it is to keep them."""
+        if keep or self.given._sc is not None or not hasattr(self.given, "_path"):  # the driver; an encrypted broadcast
+            return self.given.value
+        return self.given.load_from_path(self.given._path)
+
+
+def slotted(rows: DataFrame, slots: int) -> list[Part]:
+    """All rows (g, r) in parts of at most ``slots`` expressions, collected and broadcast one by one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 text = "".join(batch.column(0).to_pylist())
                 points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).reshape(batch.num_rows, -1)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes(points).view(np.int64)), batch.column(1), batch.column(2)], names=["x", "n", "r"])
-
-    slot = F.call_function("shiftrightunsigned", "x", F.lit(64 - (slots.bit_length() - 1)))
-    best = rows.mapInArrow(run, "x long, n long, r double").groupBy(slot).agg(F.max_by(F.struct("x", F.col("r").cast("float").alias("r")), F.struct("n", "x")).alias("b"))
-    found = best.select("b.x", "b.r").toArrow()  # at most a row for each slot
-    x = found.column("x").to_numpy().view(np.uint64)
-    order = np.argsort(x)
-    return x[order], found.column("r").to_numpy()[order]
+                yield pa.RecordBatch.from_arrays([pa.array(hashes(points).view(np.int64)), batch.column(1).cast(pa.float32())], names=["x", "r"])
+
+    hashed = checkpointed(rows.select("g", "r").mapInArrow(run, "x long, r float"))
+    of_range = F.call_function("shiftrightunsigned", "x", F.lit(64 - SLICE_BITS))
+    ranges: list[list[int]] = []  # first and last slice, expressions
+    for at, n in sorted(map(tuple, hashed.groupBy(of_range).count().collect())):  # at most a row for each slice
+        if ranges and ranges[-1][2] + n <= slots:
+            ranges[-1] = [ranges[-1][0], at, ranges[-1][2] + n]
+        else:
+            ranges.append([at, at, n])
+    out = []
+    for first, last, n in ranges:
+        found = hashed.filter(of_range.between(first, last)).toArrow()
+        x = found.column("x").to_numpy().view(np.uint64)
+        order = np.argsort(x)
+        out.append(Part(rows.sparkSession.sparkContext.broadcast((x[order], found.column("r").to_numpy()[order])), n))
+    return out
 
 
 class Models:
     """The difference of the two log-likelihoods of a word and of a text."""
 
-    def __init__(self, seen: tuple[np.ndarray, np.ndarray], starts: tuple[np.ndarray, np.ndarray], margin: float = 0.0) -> None:
+    def __init__(self, seen: list[Part], starts: list[Part], margin: float = 0.0) -> None:
         self.seen, self.starts, self.margin = seen, starts, margin
-        self.kept: dict[str, float] = {}  # by token
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"kept": {}}
+    @property
+    def kept(self) -> dict[str, float]:
+        """Differences by token; they stay with the broadcast, so a worker has them for its next tasks."""
+        return self.seen[0].given.__dict__.setdefault("kept", {}) if self.seen else {}
 
     @staticmethod
-    def look_up(known: tuple[np.ndarray, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys, values = known
-        if not len(keys):
-            return np.zeros(len(x), bool), np.zeros(len(x))
-        at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
-        return keys[at] == x, values[at].astype(np.float64)
+    def look_up(known: list[Part], hashed: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(whether it is known, its difference) of every hash; each part is read once."""
+        out = [(np.zeros(len(x), bool), np.zeros(len(x))) for x in hashed]
+        for part in known:
+            keys, values = part.read(keep=len(known) == 1)
+            for x, (hit, value) in zip(hashed, out, strict=True):
+                mine = np.flatnonzero((x >= keys[0]) & (x <= keys[-1]))
+                at = np.searchsorted(keys, x[mine])
+                same = keys[at] == x[mine]
+                hit[mine[same]] = True
+                value[mine[same]] = values[at[same]]
+        return out
 
     def of_words(self, found: list[str]) -> list[float]:
         """The difference of each word."""
-        out: list[float] = []
+        steps = []
         for part in runs(found):
             points, of = expressions(part)
-            hit, value = self.look_up(self.seen, hashes(points))
-            near, other = self.look_up(self.starts, hashes(points[:, :-1]))
-            out += np.bincount(of, np.where(hit, value, np.where(near, other, 0.0)), len(part)).tolist()
+            steps.append((len(part), of, hashes(points), hashes(points[:, :-1])))
+        seen, starts = self.look_up(self.seen, [s[2] for s in steps]), self.look_up(self.starts, [s[3] for s in steps])
+        out: list[float] = []
+        for (n, of, *_), (hit, value), (_, other) in zip(steps, seen, starts, strict=True):
+            out += np.bincount(of, np.where(hit, value, other), n).tolist()
         return out
 
     def per_word(self, texts: list[str]) -> Iterator[np.ndarray]:
@@ -276,16 +312,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows_per_c
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     sample = [rows.filter(~F.col("fit") & (F.col("label") == c)).orderBy(*order).limit(rows_per_class) for c in (0, 1)]
     curve = docs.join(F.broadcast(sample[0].unionAll(sample[1])), "doc_id").select("label", "text")  # at most 2 * rows_per_class ids
-    given = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = given.value.by_margin(batch.column(1).to_pylist(), MARGINS)
+            x = models.by_margin(batch.column(1).to_pylist(), MARGINS)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["label", "x"])
 
     seen = curve.mapInArrow(run, "label int, x array<double>").collect()
     x, y = np.array([r.x for r in seen]).reshape(-1, len(MARGINS)), np.array([float(r.label) for r in seen])
-    given.unpersist()
     if len(set(y)) < 2:
         models.margin = 3.0
         return models, 1.0, flat
@@ -302,10 +336,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows_per_c
 def score(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", rows_per_class: int = ROWS_PER_CLASS) -> DataFrame:
     """(doc_id, score, predicted, log_ratio) of every document."""
     rows = doc_text(docs, id_col, text_col)
-    given = docs.sparkSession.sparkContext.broadcast(fit(rows, labels, label_col, rows_per_class))
+    models, slope, intercept = fit(rows, labels, label_col, rows_per_class)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, slope, intercept = given.value
         for batch in (part for whole in batches for part in parts(whole)):
             x = models.differences(batch.column(1).to_pylist()) if models else np.zeros(batch.num_rows)
             p = 1 / (1 + np.exp(-np.clip(slope * x + intercept, -500, 500)))
@@ -316,11 +349,10 @@ def score(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", rows_per_class: int = ROWS_PER_CLASS) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are not predicted to be toxic; no shuffle of the rows themselves."""
-    given = docs.sparkSession.sparkContext.broadcast(fit(doc_text(docs, id_col, text_col), labels, label_col, rows_per_class))
+    models, slope, intercept = fit(doc_text(docs, id_col, text_col), labels, label_col, rows_per_class)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, slope, intercept = given.value
         for batch in (part for whole in batches for part in parts(whole)):
             x = models.differences([t or "" for t in batch.column(at).to_pylist()]) if models else np.zeros(batch.num_rows)
             yield batch.filter(pa.array(slope * x + intercept < 0))

@@ -9,6 +9,7 @@ from collections import defaultdict
 
 import duckdb
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -195,6 +196,23 @@ def test_toxicity_equals_plain_kneser_ney(spark):
     assert len(few.seen[0]) <= 4 and len(few.starts[0]) <= 4
 
 
+def test_toxicity_keeps_all_expressions_in_parts(spark):
+    rows = [(i % 2, f"{'rude' if i % 2 else 'plain'} {'abcdefghij'[i % 10] * 3}{i} words") for i in range(40)]
+    tables = toxicity.differences(toxicity.count_expressions(spark.createDataFrame(rows, "label int, text string")))
+    one, many = (toxicity.Models(*(toxicity.slotted(x, n) for x in tables)) for n in (1 << 20, 40))
+    words = sorted({w for _, t in rows for w in toxicity.words(t)}) + ["unseen", "rudely", "plainest"]
+    assert many.of_words(words) == one.of_words(words)
+    assert [sum(map(len, x)) for x in (many.seen, many.starts)] == [x.count() for x in tables]
+    assert len(one.seen) == 1 < len(many.seen) and all(len(x) <= 40 for x in (*many.seen, *many.starts))
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(many.of_words(batch.column(0).to_pylist()))], names=["w", "x"])
+
+    found = {r.w: r.x for r in spark.createDataFrame([(w,) for w in words], "w string").mapInArrow(run, "w string, x double").collect()}
+    assert found == dict(zip(words, one.of_words(words), strict=True))
+
+
 def test_quality_equals_sql(spark, tmp_path):
     rows = [*ODD, (20, "a b c d e f g h a b c d e f g h"), (21, "x " * 40), (22, "l1\nl2\nl1\n \n \nl1"), (23, "#|<> $%&*")]
     docs = spark.createDataFrame([(i, t, "p", 1) for i, t in rows if i != 8], SCHEMA)
