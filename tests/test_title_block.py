@@ -273,3 +273,16 @@ def test_documents_that_share_a_path(spark, tmp_path, name):
     expected = con.execute(f"SELECT {', '.join(out.columns)} FROM ({queries.oracle_sql()[name]})").fetchall()
     assert len(expected) > 1
     assert sorted((tuple(rounded(r[c]) for c in out.columns) for r in out.collect()), key=str) == sorted((tuple(map(rounded, r)) for r in expected), key=str)
+
+
+def test_page_titles_of_other_letters_equal_sql(spark, tmp_path):
+    import duckdb
+
+    import __spark_entry__
+
+    titles = ["Ç Ç Ç Ç Ç Ç", "Éau, êai. Épaè ouviourérev", "\n A title  ", "plan\x0bA; 2.5 x 3", "é mmé, wall; é5mm", "ชื่อแบบ", "a plan\rREV é", "x SCALE more", "", None]
+    spark.createDataFrame([(i, t and f"<title>{t}</title>") for i, t in enumerate(titles)], "page_id long, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    expected = sorted(con.execute(__spark_entry__.oracle_sql()["page_titles"]).fetchall())
+    assert sorted(map(tuple, __spark_entry__.queries()["page_titles"](spark, str(tmp_path)).collect())) == expected
