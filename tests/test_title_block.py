@@ -286,3 +286,22 @@ def test_page_titles_of_other_letters_equal_sql(spark, tmp_path):
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
     expected = sorted(con.execute(__spark_entry__.oracle_sql()["page_titles"]).fetchall())
     assert sorted(map(tuple, __spark_entry__.queries()["page_titles"](spark, str(tmp_path)).collect())) == expected
+
+
+def test_fast_merge_reads_each_text_once(spark):
+    """The number's pattern stands for a line, a page without a number in its lines and a model's text, each once."""
+    plan = queries.queries()["fast_merge"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("|MEP|") == 3
+
+
+def test_five_fields_of_odd_lines(spark):
+    rows = [("p", 0, 3, " ", 5), ("p", 0, 0, "  ", 4), ("p", 0, 1, "Sheet 2/9 E — 101", 4), ("p", 0, 2, "a long title ", 4), ("q", 0, 0, "x\nE", 1), ("q", 0, 1, "12 y", 1), ("r", 0, 0, None, 1)]
+    lines = spark.createDataFrame(rows, "pdf_path string, page_index int, line_no int, text string, page_count int")
+    out = {r.pdf_path: tuple(r)[2:] for r in classify.ocr_pages(lines).collect()}
+    assert out == {"p": ("E-101", "a long title", "", "", "9"), "q": ("E\n12", "12 y", "", "", "")}
+    raw = spark.createDataFrame([("p", 0, None), ("q", 0, "NOTES 3 of 4\nscale 1:5, a title")], "pdf_path string, page_index int, raw string")
+    pages = classify.ocr_pages(lines, keep=("page_count",)).join(raw, ["pdf_path", "page_index"])
+    merged = {r.pdf_path: tuple(r)[2:] for r in classify.fast_pages(pages, F.lit(""), merge=True).collect()}
+    assert merged == {"p": ("E-101", "a long title", "", "", "9"), "q": ("E\n12", "NOTES 3 of 4", "NOTES", "1:5", "4")}
+    alone = {r.pdf_path: tuple(r)[2:] for r in classify.fast_pages(pages, F.lit("")).collect()}
+    assert alone == {"p": ("", "", "", "", "9"), "q": ("", "NOTES 3 of 4", "NOTES", "1:5", "4")}
