@@ -81,9 +81,9 @@ def nearest_label(matches: DataFrame, words: DataFrame, order: str = "word_id")
     return first_row(best, list(PAGE), F.asc_nulls_last("d2"), F.when(F.col("d2").isNull(), -F.col("y1")), F.when(F.col("d2").isNull(), -F.col("x1")), order)
 
 
-def first_hit(crops: DataFrame, keys: list[str], order: str, hit: Column) -> DataFrame:
-    """The first crop with a hit, else the first crop."""
-    return first_row(crops.withColumn("hit", hit), keys, F.desc("hit"), order)
+def first_hit(crops: DataFrame, keys: list[str], order: str, hit: Column, ties: tuple[str, ...] = ()) -> DataFrame:
+    """The first crop with a hit, else the first crop; of several in one place that of the smallest ``ties``."""
+    return first_row(crops.withColumn("hit", hit), keys, F.desc("hit"), order, *ties)
 
 
 def merge_crops(crops: DataFrame, keys: list[str], order: str, fields: list[str]) -> DataFrame:
