@@ -305,3 +305,16 @@ def test_five_fields_of_odd_lines(spark):
     assert merged == {"p": ("E-101", "a long title", "", "", "9"), "q": ("E\n12", "NOTES 3 of 4", "NOTES", "1:5", "4")}
     alone = {r.pdf_path: tuple(r)[2:] for r in classify.fast_pages(pages, F.lit("")).collect()}
     assert alone == {"p": ("", "", "", "", "9"), "q": ("", "NOTES 3 of 4", "NOTES", "1:5", "4")}
+
+
+def test_ties_are_settled_by_values(spark, tmp_path):
+    """Rows of documents that share a path come out the same in whatever order they come in."""
+    crops = [("p", 0, 0, "B-1", "x"), ("p", 0, 0, "A-1", "y"), ("p", 0, 0, "", "z")]
+    boxes = [("p", 0, 0, 0.3, 0.1, 0.2, 0.2), ("p", 0, 0, 0.2, 0.1, 0.2, 0.2), ("p", 0, 1, 0.1, 0.1, 0.2, 0.2)]
+    for turn in (1, -1):
+        rows = spark.createDataFrame(crops[::turn], "pdf_path string, page_index int, crop_ord int, drawing_no string, title string").coalesce(1)
+        assert ranking.first_hit(rows, ["pdf_path", "page_index"], "crop_ord", F.col("drawing_no") != "", ties=("drawing_no", "title")).first().drawing_no == "A-1"
+        rows = spark.createDataFrame(boxes[::turn], "pdf_path string, page_index int, attempt int, x double, y double, w double, h double").coalesce(1)
+        assert ranking.ladder(rows, ["pdf_path", "page_index"]).first().x == 0.2
+    spark.createDataFrame([(i, k) for i, k in enumerate([12345] * 4 + [123450] * 3)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    assert queries.queries()["padded_boxes"](spark, str(tmp_path)).selectExpr("size(xs)").first()[0] == 5
