@@ -93,11 +93,11 @@ class Units:
     """The value of each unit of a text, by a bounded dictionary over ``encode``.
 
     ``encode`` maps a list of different units to their values (bytes). Units after the first carry a leading space, which
-    is not part of the key in ``rest``.
+    is not part of the key in ``rest``. A dictionary of more than ``most`` units is emptied before the next text.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]) -> None:
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = CACHE_UNITS) -> None:
+        self.encode, self.most = encode, most
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
         self.chars = 0
@@ -114,7 +114,7 @@ class Units:
         head, *tail = SAFE_CUT.split(text) if UNSAFE.search(text) else text.split(" ")
         if not head and tail:  # the text starts with a space
             head = " " + tail.pop(0)
-        if len(self.rest) + len(self.first) > CACHE_UNITS or self.chars > CACHE_CHARS:
+        if len(self.rest) + len(self.first) > self.most or self.chars > CACHE_CHARS:
             self.first, self.rest, self.chars = {}, {}, 0
         if head not in self.first:
             self.fill(self.first, [head], "")

@@ -66,18 +66,34 @@ def doc_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def give_back(out=None):
+    """``out``, after giving back to the system what the worker no longer needs; workers live on for others."""
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:  # glibc alone has it
+        trim(0)
+    return out
+
+
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """``run``, giving back to the system what its worker no longer needs when a partition ends; workers live on for others."""
+    """``run``, giving back memory when a partition ends."""
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:  # glibc alone has it
-            trim(0)
+        give_back()
 
     return wrapped
 
 
+def lean_group(run: Callable[[pa.Table], pa.Table]):
+    """``run`` over groups of some MB, giving back memory after each."""
+    return lambda part: give_back(run(part))
+
+
+def lean_cogroup(run: Callable[[pa.Table, pa.Table], pa.Table]):
+    """As ``lean_group``, over two groups of one key."""
+    return lambda left, right: give_back(run(left, right))
+
+
 def parts(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows, so that Python objects are made of a few texts at a time."""
     for at in range(0, batch.num_rows, rows):

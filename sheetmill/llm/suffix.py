@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Polynomial, chunks, mix, partitions, table
+from .common import Polynomial, chunks, lean_cogroup, lean_group, mix, partitions, table
 
 #: Bytes of an anchor.
 ANCHOR = 36
@@ -130,7 +130,7 @@ def anchor_blocks(docs: DataFrame, length: int, buckets: int) -> DataFrame:
         blocks = [len(x).to_bytes(4, "little") + group.to_bytes(8, "little") + x.tobytes() + y.tobytes() for x, y in zip(h, m, strict=True)]
         return pa.table({"bucket": pa.array(keys, pa.int64()), "block": pa.array(blocks, pa.binary())})
 
-    return docs.groupBy("part").applyInArrow(run, "bucket long, block binary")
+    return docs.groupBy("part").applyInArrow(lean_group(run), "bucket long, block binary")
 
 
 def repeated(blocks: DataFrame) -> DataFrame:
@@ -153,7 +153,7 @@ def repeated(blocks: DataFrame) -> DataFrame:
         keys, (h,) = split_by(group[twice], hash_[twice])
         return pa.table({"part": pa.array(keys, pa.int64()), "hashes": pa.array([x.tobytes() for x in h], pa.binary())})
 
-    return blocks.groupBy("bucket").applyInArrow(run, "part long, hashes binary")
+    return blocks.groupBy("bucket").applyInArrow(lean_group(run), "part long, hashes binary")
 
 
 CONTEXT = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("row", "<u4"), ("start", "<u4"), ("size", "<u4"), ("group", "<u4")])
@@ -186,7 +186,7 @@ def context_blocks(docs: DataFrame, twice: DataFrame, length: int, buckets: int)
             out_bytes = [b"".join([bodies[i] for i in p.tolist()]) for p in picked]
         return pa.table({"bucket": pa.array(out_keys, pa.int64()), "heads": pa.array(out_heads, pa.binary()), "bytes": pa.array(out_bytes, pa.binary())})
 
-    return docs.groupBy("part").cogroup(twice.groupBy("part")).applyInArrow(run, "bucket long, heads binary, bytes binary")
+    return docs.groupBy("part").cogroup(twice.groupBy("part")).applyInArrow(lean_cogroup(run), "bucket long, heads binary, bytes binary")
 
 
 class SuffixArray:
@@ -324,7 +324,7 @@ def removed_spans(contexts: DataFrame, length: int) -> DataFrame:
         keys, (spans,) = split_by(found["group"].astype(np.int64), span)
         return pa.table({"part": pa.array(keys, pa.int64()), "spans": pa.array([x.tobytes() for x in spans], pa.binary())})
 
-    return contexts.groupBy("bucket").applyInArrow(run, SPANS)
+    return contexts.groupBy("bucket").applyInArrow(lean_group(run), SPANS)
 
 
 def united(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -373,7 +373,7 @@ def cut_out(docs: DataFrame, spans: DataFrame, length: int, with_text: bool) ->
         return out.append_column("rest", left.column("rest")) if carried else out
 
     schema = f"{KEPT}, rest {docs.schema['rest'].dataType.simpleString()}" if carried else KEPT
-    return docs.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(run, schema)
+    return docs.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(lean_cogroup(run), schema)
 
 
 def remove_repeats(df: DataFrame, length: int = 100, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:

@@ -75,6 +75,16 @@ def test_packing_keeps_every_id_within_capacity(spark, files):
     assert all(len(b) <= 3 and (sum(x * x for x in b) <= 600_000 or len(b) == 1) for b in bins.values())
 
 
+def test_packing_workers_keep_few_units(files):
+    """A worker lives on through later stages, so what it keeps of texts is bounded; ids stay those of the file."""
+    ids_of = packing.TokenizerIds(files[1])
+    for i in range(30):
+        text = " ".join(f"w{i}x{j}" for j in range(10_000))
+        raw = ids_of.raw(text)
+    assert list(struct.unpack(f"<{len(raw) // 4}I", raw)) == Tokenizer.from_str(files[1]).encode(text, add_special_tokens=False).ids
+    assert len(ids_of.units.first) + len(ids_of.units.rest) <= 120_000
+
+
 def test_chat_equals_sql_and_reads_back(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
