@@ -275,6 +275,23 @@ def test_documents_that_share_a_path(spark, tmp_path, name):
     assert sorted((tuple(rounded(r[c]) for c in out.columns) for r in out.collect()), key=str) == sorted((tuple(map(rounded, r)) for r in expected), key=str)
 
 
+WHOLE_PAGES = ("ocr_rule_classify",)
+
+
+@pytest.mark.parametrize("name", WHOLE_PAGES)
+def test_long_pages_are_read_to_their_end(spark, tmp_path, name):
+    """210 customers share a path, so a page has over 200 lines of each number; their texts are equal, so no order is left open."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE customer AS SELECT 1000000020 + 60 * j AS c_custkey, 'Customer' AS c_name, 'BUILDING' AS c_mktsegment FROM range(210) AS v(j)")
+    con.execute("CREATE TABLE orders AS SELECT 130200 * (2 * j + i) + 8 AS o_orderkey, 1000000020 + 60 * j AS o_custkey FROM range(210) AS v(j), range(2) AS r(i)")
+    for table in ("customer", "orders"):
+        con.execute(f"COPY {table} TO '{tmp_path}/{table}.parquet' (FORMAT parquet)")
+    out = queries.queries()[name](spark, str(tmp_path))
+    expected = con.execute(f"SELECT {', '.join(out.columns)} FROM ({queries.oracle_sql()[name]})").fetchall()
+    assert {r[:2] for r in expected} == {("set/10000.pdf", 0), ("set/10000.pdf", 1)}
+    assert sorted(map(tuple, out.collect())) == sorted(expected)
+
+
 def test_page_titles_of_other_letters_equal_sql(spark, tmp_path):
     import duckdb
 
