@@ -275,7 +275,7 @@ def test_documents_that_share_a_path(spark, tmp_path, name):
     assert sorted((tuple(rounded(r[c]) for c in out.columns) for r in out.collect()), key=str) == sorted((tuple(map(rounded, r)) for r in expected), key=str)
 
 
-WHOLE_PAGES = ("ocr_rule_classify", "fast_classify", "fast_merge", "rule_scale")
+WHOLE_PAGES = ("ocr_rule_classify", "fast_classify", "fast_merge", "rule_scale", "rule_drawing_no")
 
 
 @pytest.mark.parametrize("name", WHOLE_PAGES)
