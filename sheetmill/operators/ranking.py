@@ -87,9 +87,9 @@ def first_hit(crops: DataFrame, keys: list[str], order: str, hit: Column, ties:
 
 
 def merge_crops(crops: DataFrame, keys: list[str], order: str, fields: list[str]) -> DataFrame:
-    """Of each field the first non-empty value in crop order, and the crops that had any, one entry a row."""
+    """Of each field the first non-empty value in crop order, of several in one place the smallest, and the crops that had any, one entry a row."""
     some = F.greatest(*(F.col(f) != "" for f in fields))
-    first = [F.coalesce(F.min_by(filled(F.col(f)), F.when(F.col(f) != "", F.col(order))), F.lit("")).alias(f) for f in fields]
+    first = [F.coalesce(F.min(F.when(F.col(f) != "", F.struct(order, f)))[f], F.lit("")).alias(f) for f in fields]
     used = F.array_join(F.array_sort(F.collect_list(F.when(some, F.col(order)))), ",").alias("crops")
     return crops.groupBy(*keys).agg(*first, used)
 

@@ -335,3 +335,12 @@ def test_ties_are_settled_by_values(spark, tmp_path):
         assert ranking.ladder(rows, ["pdf_path", "page_index"]).first().x == 0.2
     spark.createDataFrame([(i, k) for i, k in enumerate([12345] * 4 + [123450] * 3)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
     assert queries.queries()["padded_boxes"](spark, str(tmp_path)).selectExpr("size(xs)").first()[0] == 5
+
+
+def test_merged_crops_do_not_depend_on_the_order_of_rows(spark):
+    """Crops of documents that share a path come out the same in whatever order they come in."""
+    crops = [("p", 0, 1, "A-0", "", ""), ("p", 0, 0, "B-1", "y", ""), ("p", 0, 0, "A-1", "z", ""), ("p", 0, 0, "", "x", ""), ("q", 0, 0, "", None, "")]
+    for turn in (1, -1):
+        rows = spark.createDataFrame(crops[::turn], "pdf_path string, page_index int, crop_ord int, drawing_no string, title string, scale string").coalesce(1)
+        merged = ranking.merge_crops(rows, ["pdf_path", "page_index"], "crop_ord", ["drawing_no", "title", "scale"]).collect()
+        assert sorted(map(tuple, merged)) == [("p", 0, "A-1", "x", "", "0,0,0,1"), ("q", 0, "", "", "", "")]
