@@ -94,13 +94,13 @@ def merge_crops(crops: DataFrame, keys: list[str], order: str, fields: list[str]
     return crops.groupBy(*keys).agg(*first, used)
 
 
-def ladder(attempts: DataFrame, keys: list[str], steps: int = 3, tries: int = 2) -> DataFrame:
+def ladder(attempts: DataFrame, keys: list[str], steps: int = 3, tries: int = 2, ties: tuple[str, ...] = ()) -> DataFrame:
     """The box that a ladder of detections gives: (keys, attempt, x, y, w, h), no row where no step has one.
 
     Each step is tried ``tries`` times and gives its first box; a box without width or height is passed over in every step
-    but the last. Of several boxes of one attempt the smallest stands, by x, y, w and h.
+    but the last. Of several boxes of one attempt that of the smallest ``ties`` stands, then the smallest by x, y, w and h.
     """
     step = F.floor(F.col("attempt") / tries)
-    first = first_row(attempts.filter("x IS NOT NULL").withColumn("step", step), [*keys, "step"], "attempt", *"xywh")
+    first = first_row(attempts.filter("x IS NOT NULL").withColumn("step", step), [*keys, "step"], "attempt", *ties, *"xywh")
     fits = (F.col("step") >= steps - 1) | ((F.col("w") > 0) & (F.col("h") > 0))
-    return first_row(first.filter(fits), keys, "attempt", *"xywh").drop("step")
+    return first_row(first.filter(fits), keys, "attempt", *ties, *"xywh").drop("step")

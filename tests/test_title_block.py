@@ -344,3 +344,27 @@ def test_merged_crops_do_not_depend_on_the_order_of_rows(spark):
         rows = spark.createDataFrame(crops[::turn], "pdf_path string, page_index int, crop_ord int, drawing_no string, title string, scale string").coalesce(1)
         merged = ranking.merge_crops(rows, ["pdf_path", "page_index"], "crop_ord", ["drawing_no", "title", "scale"]).collect()
         assert sorted(map(tuple, merged)) == [("p", 0, "A-1", "x", "", "0,0,0,1"), ("q", 0, "", "", "", "")]
+
+
+#: What the SQL's order leaves open where documents share a path, settled by the key of the order.
+BY_KEY = {
+    "detection_ladder": (("SELECT pdf_path, page_index, CAST(a AS int)", "SELECT o_orderkey, pdf_path, page_index, CAST(a AS int)"), ("::INT, attempt)", "::INT, attempt, o_orderkey)"), ("ORDER BY attempt) = 1", "ORDER BY attempt, o_orderkey) = 1")),
+}
+
+
+@pytest.mark.parametrize("name", sorted(BY_KEY))
+def test_shared_pages_stand_in_the_order_of_their_keys(spark, tmp_path, name):
+    """Six customers share a path; the rows are those of the SQL with the order's key added to what it orders by."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE customer AS SELECT k AS c_custkey, 'Customer ' || k AS c_name, 'BUILDING' AS c_mktsegment FROM (VALUES (12345), (123450), (123451), (123454), (123457), (123459)) AS v(k)")
+    con.execute("CREATE TABLE orders AS SELECT 1000 + i * 7919 % 997 AS o_orderkey, c_custkey AS o_custkey FROM customer, range(60) AS r(i) WHERE (i + c_custkey) % 6 = (c_custkey % 10) // 2 OR i = c_custkey % 10 QUALIFY row_number() OVER (PARTITION BY i ORDER BY c_custkey DESC) = 1")
+    for table in ("customer", "orders"):
+        con.execute(f"COPY {table} TO '{tmp_path}/{table}.parquet' (FORMAT parquet)")
+    sql = queries.oracle_sql()[name]
+    for old, new in BY_KEY[name]:
+        assert old in sql
+        sql = sql.replace(old, new)
+    out = queries.queries()[name](spark, str(tmp_path))
+    expected = con.execute(f"SELECT {', '.join(out.columns)} FROM ({sql})").fetchall()
+    assert len(expected) < con.execute("SELECT count(*) FROM orders").fetchone()[0] or name.startswith("fast_")
+    assert sorted((tuple(rounded(r[c]) for c in out.columns) for r in out.collect()), key=str) == sorted((tuple(map(rounded, r)) for r in expected), key=str)
