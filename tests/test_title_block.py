@@ -349,6 +349,7 @@ def test_merged_crops_do_not_depend_on_the_order_of_rows(spark):
 #: What the SQL's order leaves open where documents share a path, settled by the key of the order.
 BY_KEY = {
     "detection_ladder": (("SELECT pdf_path, page_index, CAST(a AS int)", "SELECT o_orderkey, pdf_path, page_index, CAST(a AS int)"), ("::INT, attempt)", "::INT, attempt, o_orderkey)"), ("ORDER BY attempt) = 1", "ORDER BY attempt, o_orderkey) = 1")),
+    "crop_first_hit": (("SELECT pdf_path, page_index, crop_ord, coalesce(", "SELECT o_orderkey, pdf_path, page_index, crop_ord, coalesce("), ("DESC, crop_ord)", "DESC, crop_ord, o_orderkey)")),
 }
 
 
