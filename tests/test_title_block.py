@@ -351,6 +351,7 @@ BY_KEY = {
     "detection_ladder": (("SELECT pdf_path, page_index, CAST(a AS int)", "SELECT o_orderkey, pdf_path, page_index, CAST(a AS int)"), ("::INT, attempt)", "::INT, attempt, o_orderkey)"), ("ORDER BY attempt) = 1", "ORDER BY attempt, o_orderkey) = 1")),
     "crop_first_hit": (("SELECT pdf_path, page_index, crop_ord, coalesce(", "SELECT o_orderkey, pdf_path, page_index, crop_ord, coalesce("), ("DESC, crop_ord)", "DESC, crop_ord, o_orderkey)")),
     "padded_boxes": (("ORDER BY page_index)", "ORDER BY page_index, o_orderkey)"), ("any_value(page_count)", "min(page_count)")),
+    "csv_group_lines": (("ORDER BY line_no)", "ORDER BY line_no, o_orderkey)"),),
 }
 
 
