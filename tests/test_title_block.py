@@ -352,6 +352,7 @@ BY_KEY = {
     "crop_first_hit": (("SELECT pdf_path, page_index, crop_ord, coalesce(", "SELECT o_orderkey, pdf_path, page_index, crop_ord, coalesce("), ("DESC, crop_ord)", "DESC, crop_ord, o_orderkey)")),
     "padded_boxes": (("ORDER BY page_index)", "ORDER BY page_index, o_orderkey)"), ("any_value(page_count)", "min(page_count)")),
     "csv_group_lines": (("ORDER BY line_no)", "ORDER BY line_no, o_orderkey)"),),
+    "rule_drawing_no": (("ORDER BY line_no)", "ORDER BY line_no, o_orderkey)"),),
 }
 
 
