@@ -353,6 +353,7 @@ BY_KEY = {
     "padded_boxes": (("ORDER BY page_index)", "ORDER BY page_index, o_orderkey)"), ("any_value(page_count)", "min(page_count)")),
     "csv_group_lines": (("ORDER BY line_no)", "ORDER BY line_no, o_orderkey)"),),
     "rule_drawing_no": (("ORDER BY line_no)", "ORDER BY line_no, o_orderkey)"),),
+    "fast_classify": (("ORDER BY line_no)", "ORDER BY line_no, o_orderkey)"), ("any_value(page_count)", "arg_min(page_count, o_orderkey)")),
 }
 
 
