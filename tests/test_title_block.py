@@ -354,6 +354,7 @@ BY_KEY = {
     "csv_group_lines": (("ORDER BY line_no)", "ORDER BY line_no, o_orderkey)"),),
     "rule_drawing_no": (("ORDER BY line_no)", "ORDER BY line_no, o_orderkey)"),),
     "fast_classify": (("ORDER BY line_no)", "ORDER BY line_no, o_orderkey)"), ("any_value(page_count)", "arg_min(page_count, o_orderkey)")),
+    "fast_merge": (("ORDER BY line_no)", "ORDER BY line_no, o_orderkey)"), ("any_value(page_count)", "arg_min(page_count, o_orderkey)")),
 }
 
 
